@@ -11,18 +11,16 @@ from reviewlens.functions.text import DOMAIN_STOPWORDS_LONG, english_stopwords,
 from reviewlens.operators.ranking import top_k_per_group
 
 
-def top_keywords(
+def keyword_counts(
     df: DataFrame,
     text: str = "Review",
     label: str = "Sentiment",
-    k: int = 120,
     stopwords: Iterable[str] | None = None,
     drop_class_name: bool = True,
 ) -> DataFrame:
-    """The ``k`` most frequent words per class as ``(label, word, value, rank)``; ties by word.
+    """``(label, word, value)``: how often each word occurs per class.
 
-    Words are counted per task before the shuffle, so a frequent word costs one row per task;
-    the ranking only sees distinct words and is cut to ``k`` per task.
+    Words are counted per task before the shuffle: a frequent word costs one row per task.
     """
     if stopwords is None:
         stopwords = [*english_stopwords(), *DOMAIN_STOPWORDS_LONG]
@@ -30,7 +28,22 @@ def top_keywords(
     kept = words.filter(~F.col("word").isin(sorted(set(stopwords))))
     if drop_class_name:
         kept = kept.filter(F.col("word") != F.lower(F.col("label").cast("string")))
-    counted = kept.groupBy("label", "word").agg(F.count(F.lit(1)).alias("value"))
+    return kept.groupBy("label", "word").agg(F.count(F.lit(1)).alias("value"))
+
+
+def top_keywords(
+    df: DataFrame,
+    text: str = "Review",
+    label: str = "Sentiment",
+    k: int = 120,
+    stopwords: Iterable[str] | None = None,
+    drop_class_name: bool = True,
+) -> DataFrame:
+    """The ``k`` most frequent words per class as ``(label, word, value, rank)``; ties by word.
+
+    The ranking only sees distinct words and is cut to ``k`` per class in every task.
+    """
+    counted = keyword_counts(df, text, label, stopwords, drop_class_name)
     return top_k_per_group(counted, ["label"], [F.desc("value"), F.asc("word")], k)
 
 
