@@ -48,21 +48,23 @@ def _through(df: DataFrame, stages: list) -> DataFrame:
 
 def count_vectorizer(
     df: DataFrame, tokens: str, out: str = "raw_features", vocab_size: int = 10_000, min_df: int = 2
-) -> tuple[CountVectorizerModel, list[int]]:
-    """A term-count model and the document frequency of each of its terms.
+) -> tuple[CountVectorizerModel, list[int], int]:
+    """A term-count model, the document frequency of each of its terms, and the number of rows.
 
     The vocabulary is the one ``CountVectorizer`` learns, except that equally frequent terms are
-    ordered alphabetically: the features are the same however the rows are partitioned. Terms and
-    document frequencies come from one aggregation; at most ``vocab_size`` terms reach the driver,
+    ordered alphabetically: the features are the same however the rows are partitioned. All of it
+    comes from one pass over the data; at most ``vocab_size`` terms reach the driver,
     as every ``CountVectorizerModel`` holds them there.
     """
     if vocab_size > MAX_DRIVER_VOCABULARY:
         raise ValueError(f"vocab_size must not exceed {MAX_DRIVER_VOCABULARY}")
-    rows = vocab_document_freq(df, tokens, min_df, vocab_size).collect()
-    if not rows:
+    found = vocab_document_freq(df, tokens, min_df, vocab_size, with_rows=True).collect()
+    rows = sum(row["df"] for row in found if row["term"] is None)
+    terms = [row for row in found if row["term"] is not None]
+    if not terms:
         raise ValueError(f"no term occurs in {min_df} rows")
-    model = CountVectorizerModel.from_vocabulary([row["term"] for row in rows], inputCol=tokens, outputCol=out)
-    return model, [row["df"] for row in rows]
+    model = CountVectorizerModel.from_vocabulary([row["term"] for row in terms], inputCol=tokens, outputCol=out)
+    return model, [row["df"] for row in terms], rows
 
 
 def fit_text_features(
@@ -82,8 +84,10 @@ def fit_text_features(
     if tokenizer != "ngrams":
         tokens = "filtered_tokens"
         stages.append(StopWordsRemover(inputCol="tokens", outputCol=tokens, stopWords=english_stopwords()))
-    counts, frequencies = count_vectorizer(_through(train, stages), tokens, vocab_size=vocab_size, min_df=min_df)
-    rows, smooth = train.count(), 1.0 if tokenizer == "ngrams" else 0.0
+    counts, frequencies, rows = count_vectorizer(
+        _through(train, stages).select(tokens), tokens, vocab_size=vocab_size, min_df=min_df
+    )
+    smooth = 1.0 if tokenizer == "ngrams" else 0.0
     weights = Vectors.dense([math.log((rows + 1) / (df + 1)) + smooth for df in frequencies])
     weighted = "weighted" if tokenizer == "ngrams" else "features"
     stages += [counts, ElementwiseProduct(scalingVec=weights, inputCol="raw_features", outputCol=weighted)]
@@ -98,7 +102,7 @@ def vocabulary(model: PipelineModel) -> list[str]:
 
 def term_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
     """``(key, term, tf)``. Tokens of one row are counted before the shuffle."""
-    exploded = df.select(key, F.explode(tokens).alias("term"))
+    exploded = df.select(key, F.explode_outer(tokens).alias("term")).filter(F.col("term").isNotNull())
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -118,7 +122,7 @@ def tfidf_long(
     broadcast while that is small.
     """
     counted = term_counts(df, key, tokens)
-    rows = df.count()
+    rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
     kept = (
         counted.groupBy("term")
         .agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
@@ -126,7 +130,7 @@ def tfidf_long(
         .orderBy(F.desc("n"), F.asc("term"))
         .limit(vocab_size)
     )
-    idf = F.log(F.lit(rows + 1.0) / (F.col("df") + 1)) + F.lit(1.0 if smooth else 0.0)
+    idf = F.log((rows + 1) / (F.col("df") + 1)) + F.lit(1.0 if smooth else 0.0)
     weights = kept.select("term", idf.alias("idf"))
     if vocab_size <= MAX_DRIVER_VOCABULARY:
         weights = F.broadcast(weights)

@@ -24,7 +24,7 @@ def keyword_counts(
     """
     if stopwords is None:
         stopwords = [*english_stopwords(), *DOMAIN_STOPWORDS_LONG]
-    words = df.select(F.col(label).alias("label"), F.explode(keyword_tokens(F.col(text))).alias("word"))
+    words = df.select(F.col(label).alias("label"), F.explode_outer(keyword_tokens(F.col(text))).alias("word"))
     kept = words.filter(~F.col("word").isin(sorted(set(stopwords))))
     if drop_class_name:
         kept = kept.filter(F.col("word") != F.lower(F.col("label").cast("string")))
@@ -48,20 +48,33 @@ def top_keywords(
 
 
 def vocab_document_freq(
-    df: DataFrame, tokens: str, min_df: int = 2, vocab_size: int = 10_000
+    df: DataFrame, tokens: str, min_df: int = 2, vocab_size: int = 10_000, with_rows: bool = False
 ) -> DataFrame:
     """The ``vocab_size`` most frequent terms among those in at least ``min_df`` rows.
 
     Returns ``(term, n, df)``: occurrences and number of rows; ties by term. Each row contributes
     its tokens once for ``n`` and its distinct tokens once for ``df``, so both come from one
-    aggregation without a distinct count. The final ordering keeps ``vocab_size`` rows per task.
+    aggregation without a distinct count. ``with_rows`` adds a record with a null term whose ``df``
+    is the number of rows of the input, from the same pass. The final ordering keeps ``vocab_size``
+    rows per task.
+
+    The outer form of ``inline`` matters: for the plain form Catalyst adds a filter that computes
+    the tokens a second time.
     """
-    token = F.col(tokens)
+    token = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+
+    def mark(term, n: int, rows: int):
+        return F.struct(term.alias("term"), F.lit(n).cast("long").alias("n"), F.lit(rows).cast("long").alias("df"))
+
     marks = F.concat(
-        F.transform(token, lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct(token), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("df"))
-        ),
+        F.array(mark(F.lit(None).cast("string"), 0, 1)),
+        F.transform(token, lambda t: mark(t, 1, 0)),
+        F.transform(F.array_distinct(token), lambda t: mark(t, 0, 1)),
     )
-    totals = df.select(F.inline(marks)).groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    return totals.filter(F.col("df") >= min_df).orderBy(F.desc("n"), F.asc("term")).limit(vocab_size)
+    totals = df.select(F.inline_outer(marks)).groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    term = F.col("term")
+    if not with_rows:
+        kept = totals.filter(term.isNotNull() & (F.col("df") >= min_df))
+        return kept.orderBy(F.desc("n"), F.asc("term")).limit(vocab_size)
+    kept = totals.filter(term.isNull() | (F.col("df") >= min_df))
+    return kept.orderBy(term.isNotNull(), F.desc("n"), F.asc("term")).limit(vocab_size + 1)

@@ -63,13 +63,13 @@ def class_share(df: DataFrame, label: str = "Sentiment", positive="positive") ->
     return counts.withColumn("share_percent", share)
 
 
-def word_count_stats(df: DataFrame, words: str = "words", accuracy: float = 0.01) -> DataFrame:
+def word_count_stats(df: DataFrame, words: str = "words", relative_error: float = 0.0001) -> DataFrame:
     """Mean, sample variance and deviation, and an approximate median (always a value that occurs)."""
     return df.agg(
         F.round(F.mean(words), 2).alias("mean"),
         F.round(F.variance(words), 2).alias("variance"),
         F.round(F.stddev(words), 2).alias("std"),
-        F.percentile_approx(words, 0.5, int(1 / accuracy)).alias("median"),
+        F.percentile_approx(words, 0.5, int(1 / relative_error)).alias("median"),
     )
 
 

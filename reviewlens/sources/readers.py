@@ -121,8 +121,8 @@ def extract_metrics(notebooks: DataFrame, pattern: str = METRICS_LINE, required:
         "notebook",
         "cell",
         "output",
-        F.posexplode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("match", "line"),
-    )
+        F.posexplode_outer(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("match", "line"),
+    ).filter(F.col("line").isNotNull())
     figures = ("accuracy", "precision", "recall", "f1")
     parsed = lines.select(
         "notebook",

@@ -10,6 +10,7 @@ from reviewlens.functions.text import embed_clean_tokens
 from reviewlens.operators.embeddings import word_vocabulary
 from reviewlens.operators.labels import align_labels, binary_label, label_from_rating
 from reviewlens.operators.splits import part, stable_split
+from reviewlens.session import spread
 
 CUTS = (500, 1500, 5000)
 LEXICON_DIM = 64
@@ -20,7 +21,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:

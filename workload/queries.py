@@ -489,7 +489,7 @@ def _vector_terms(df: DataFrame, vector: str, vocabulary: list[str], key: str) -
 @query
 def count_vectorize(spark, sf):
     tokens = _filtered_tokens(spark, sf)
-    model, _ = features.count_vectorizer(tokens, "tokens")
+    model, _, _ = features.count_vectorizer(tokens, "tokens")
     counted = _vector_terms(model.transform(tokens), "raw_features", model.vocabulary, "doc_id")
     return counted.select("doc_id", "term", F.col("value").cast("long").alias("tf"))
 
