@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reviewlens.functions.text import embed_clean_tokens, word_count_raw
+from reviewlens.functions.text import URL, word_count_raw
 from reviewlens.operators.splits import TEST, TRAIN, split_key
 
 MAX_CLASSES = 1000
@@ -30,7 +30,7 @@ def row_counts(
         (F.col(text).isNotNull() & F.col(rating).isNotNull()).alias("present"),
         F.coalesce(clean, F.lit(False)).alias("clean"),
         (split_key([review, stars], method) < train_percent).alias("train"),
-        (F.size(embed_clean_tokens(review)) > 0).alias("has_words"),
+        F.regexp_replace(F.lower(review), URL, " ").rlike("[a-z]").alias("has_words"),
     )
     flags = ["present", "clean", "train", "has_words"]
     distinct = facts.groupBy("content", "rating", *flags).agg(F.count(F.lit(1)).alias("copies"))

@@ -55,14 +55,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Used where several jobs read the same intermediate result. The table survives lost executors,
-    cuts the lineage, and later reads get column pruning and true file sizes.
+    cuts the lineage, and later reads get column pruning and true file sizes. Reads that filter on
+    ``partition_by`` only open the folders they need.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -26,7 +26,7 @@ def read_reviews_csv(
     """CSV with a header. Quoted fields may hold newlines and doubled quotes.
 
     ``schema`` names the wanted columns (found by header name, in any order and among others);
-    ``None`` infers all. A file with newlines inside fields cannot be split among tasks: keep such
+    ``None`` infers all. An empty field is null, a quoted empty field an empty string. A file with newlines inside fields cannot be split among tasks: keep such
     input in many files, or pass ``multi_line=False`` where fields hold no newlines.
     """
     options = {
@@ -35,6 +35,7 @@ def read_reviews_csv(
         "escape": '"',
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
+        "nullValue": "\u0000",  # by default it equals the empty string, and both are read as null
     }
     if schema is None:
         return spark.read.options(**options, inferSchema=True).csv(path)

@@ -10,7 +10,7 @@ from reviewlens.functions.text import embed_clean_tokens
 from reviewlens.operators.embeddings import word_vocabulary
 from reviewlens.operators.labels import align_labels, binary_label, label_from_rating
 from reviewlens.operators.splits import part, stable_split
-from reviewlens.session import spread
+from reviewlens.session import spread, stage
 
 CUTS = (500, 1500, 5000)
 LEXICON_DIM = 64
@@ -66,8 +66,9 @@ def split_reviews(spark: SparkSession, sf: str, method: str = "md5") -> DataFram
 
 
 def train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Labelled reviews by the murmur3 split."""
-    divided = split_reviews(spark, sf, "murmur3")
+    """Labelled reviews by the murmur3 split, saved once as users of fixed splits do."""
+    columns = ["doc_id", "Review", "Rating", "Sentiment", "split"]
+    divided = stage(split_reviews(spark, sf, "murmur3").select(*columns), "split", partition_by="split")
     return part(divided, "train"), part(divided, "test")
 
 
