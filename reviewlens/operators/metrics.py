@@ -184,14 +184,12 @@ def metrics_rows(
 # --- ranking metrics -------------------------------------------------------------------------
 
 
-def score_curve(
-    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), buckets: int = 256
-) -> DataFrame:
-    """Per distinct score: positives and negatives there (``pos``, ``neg``) and at or above it.
+def _score_ranges(df: DataFrame, label: str, score: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Positives and negatives per distinct score, and the range (``bucket``) the score falls in.
 
     A running sum over all scores would need them in one task. The scores are cut into ranges at
-    approximate quantiles; sums run within a range, and the sums of the ranges above (``buckets``
-    rows per method) are added. The cut points only balance the work: any would give the exact sums.
+    approximate quantiles, so sums can run within a range and over the ranges. The cut points only
+    balance the work: any would give the exact sums.
     """
     known = df.select(*by, F.col(label).alias("label"), F.col(score).cast("double").alias("score")).dropna()
     cuts = known.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
@@ -203,36 +201,54 @@ def score_curve(
     bucket = F.lit(0)
     if cuts:
         bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("score")))
-    ranged = counts.withColumn("bucket", bucket)
+    return counts.withColumn("bucket", bucket)
+
+
+def score_curve(
+    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), buckets: int = 256
+) -> DataFrame:
+    """Per distinct score: positives and negatives there (``pos``, ``neg``) and at or above it (``tp``, ``fp``)."""
+    ranged = _score_ranges(df, label, score, by, buckets)
+    inside = W.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
     above = W.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*by, "bucket")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .select(
-            *by,
-            "bucket",
-            F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_offset"),
-            F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("neg_offset"),
-        )
+    sums = ranged.groupBy(*by, "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    offsets = sums.select(
+        *by,
+        "bucket",
+        F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_above"),
+        F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("neg_above"),
     )
-    inside = W.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
     running = ranged.withColumn("pos_sum", F.sum("pos").over(inside)).withColumn("neg_sum", F.sum("neg").over(inside))
     return running.join(offsets, [*by, "bucket"]).select(
         *by,
         "score",
         "pos",
         "neg",
-        (F.col("pos_sum") + F.col("pos_offset")).alias("tp"),
-        (F.col("neg_sum") + F.col("neg_offset")).alias("fp"),
+        (F.col("pos_sum") + F.col("pos_above")).alias("tp"),
+        (F.col("neg_sum") + F.col("neg_above")).alias("fp"),
     )
 
 
-def auc_roc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """Exact area under the ROC curve; null when a class is missing."""
-    curve = score_curve(df, label, score, by)
-    # A positive beats the negatives below its score and shares those at it.
-    area = F.sum((F.col("tp") - F.col("pos") / 2) * F.col("neg"))
-    return curve.groupBy(*by).agg(F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+def auc_roc(
+    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), buckets: int = 256
+) -> DataFrame:
+    """Exact area under the ROC curve; null when a class is missing.
+
+    It is the share of (positive, negative) pairs that the score orders rightly, ties counting half:
+    pairs within a range of scores, plus all positives of the ranges above times the negatives.
+    """
+    ranged = _score_ranges(df, label, score, by, buckets)
+    inside = W.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
+    above = W.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
+    pairs = (F.sum("pos").over(inside) - F.col("pos") / 2) * F.col("neg")
+    ranges = (
+        ranged.withColumn("pairs", pairs)
+        .groupBy(*by, "bucket")
+        .agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .withColumn("pos_above", F.coalesce(F.sum("pos").over(above), F.lit(0)).cast("double"))
+    )
+    ordered = F.sum(F.col("pairs") + F.col("pos_above") * F.col("neg"))
+    return ranges.groupBy(*by).agg(F.try_divide(ordered, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
 def auc_pr(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:

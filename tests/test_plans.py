@@ -8,6 +8,8 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from reviewlens.operators.embeddings import embedding_tokens
+from workload.fixtures import documents
 
 ROOT = pathlib.Path(__file__).resolve().parent.parent
 # Each of these actions brings a bounded number of rows to the driver.
@@ -21,7 +23,7 @@ BOUNDED_ACTIONS = {
 LAZY = [
     name
     for name in entry.oracle_sql()
-    if not name.startswith(("scan_", "sink_")) and name not in ("dataset_payload",)
+    if not name.startswith(("scan_", "sink_")) and name not in ("dataset_payload", "word2vec_fit_transform", "word_vector_table")
 ]
 
 
@@ -70,3 +72,5 @@ def test_tokens_are_computed_once(spark, sf):
     for name, function in (("vocab_document_freq", "regexp_replace"), ("top_keywords", "regexp_extract_all")):
         executed = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert len(re.findall(function, executed)) == 1
+    words = embedding_tokens(documents(spark, sf), "text")
+    assert len(re.findall("regexp_extract_all", words._jdf.queryExecution().executedPlan().toString())) == 1

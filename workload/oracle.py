@@ -449,6 +449,12 @@ def statements() -> dict[str, str]:
         "text_features_nonword": _tfidf_test(r"string_split_regex(lower(Review), '\W+')"),
         "tfidf_bigram_l2": _bigrams(),
         "tfidf_bigram_l2_long": _bigrams(),
+        "word2vec_fit_transform": _with(
+            """SELECT doc_id, CAST(Sentiment = 'positive' AS INTEGER) AS Sentiment, 100 AS dims
+            FROM labelled JOIN clean_words USING (doc_id) WHERE len(words) > 0""",
+            "labelled",
+            "clean_words",
+        ),
         "word_vector_table": _with("SELECT word, 100 AS dims FROM word_counts WHERE n >= 2", "word_counts"),
         "pretrained_doc_vectors": _with(
             f"""SELECT doc_id, coalesce(round(sum(total) / count(total), 6), 0.0) AS total
