@@ -7,12 +7,17 @@ in the same job.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 10_000
+
 
 def confusion_cells(
     df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
@@ -184,31 +189,31 @@ def metrics_rows(
 # --- ranking metrics -------------------------------------------------------------------------
 
 
-def _score_ranges(df: DataFrame, label: str, score: str, by: Sequence[str], buckets: int) -> DataFrame:
+def _score_ranges(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per_range: int) -> DataFrame:
     """Positives and negatives per distinct score, and the range (``bucket``) the score falls in.
 
-    A running sum over all scores would need them in one task. The scores are cut into ranges at
-    approximate quantiles, so sums can run within a range and over the ranges. The cut points only
-    balance the work: any would give the exact sums.
+    A running sum over all scores would need them in one task. The scores are cut into ranges of
+    about ``rows_per_range`` rows at approximate quantiles, so sums can run within a range and over
+    the ranges. The cut points only balance the work: any would give the exact sums.
     """
     known = df.select(*by, F.col(label).alias("label"), F.col(score).cast("double").alias("score")).dropna()
-    cuts = known.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
-    cuts = sorted(set(cuts))
+    buckets = min(math.ceil(known.count() / rows_per_range), MAX_RANGES)
+    cuts = known.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets) if buckets > 1 else []
+    splits = [-math.inf, *sorted(set(cuts) - {-math.inf, math.inf}), math.inf]
     positive = F.col("label") == 1
     counts = known.groupBy(*by, "score").agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    bucket = F.lit(0)
-    if cuts:
-        bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("score")))
-    return counts.withColumn("bucket", bucket)
+    if len(splits) == 2:
+        return counts.withColumn("bucket", F.lit(0.0))
+    return Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
 
 
 def score_curve(
-    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), buckets: int = 256
+    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Per distinct score: positives and negatives there (``pos``, ``neg``) and at or above it (``tp``, ``fp``)."""
-    ranged = _score_ranges(df, label, score, by, buckets)
+    ranged = _score_ranges(df, label, score, by, rows_per_range)
     inside = W.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
     above = W.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
     sums = ranged.groupBy(*by, "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
@@ -230,14 +235,14 @@ def score_curve(
 
 
 def auc_roc(
-    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), buckets: int = 256
+    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Exact area under the ROC curve; null when a class is missing.
 
     It is the share of (positive, negative) pairs that the score orders rightly, ties counting half:
     pairs within a range of scores, plus all positives of the ranges above times the negatives.
     """
-    ranged = _score_ranges(df, label, score, by, buckets)
+    ranged = _score_ranges(df, label, score, by, rows_per_range)
     inside = W.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
     above = W.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
     pairs = (F.sum("pos").over(inside) - F.col("pos") / 2) * F.col("neg")

@@ -80,8 +80,10 @@ def test_areas_equal_the_evaluator(spark, distinct):
     ):
         evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", metricName=metric, numBins=0)
         assert area(df).first()[column] == pytest.approx(evaluator.evaluate(df), abs=1e-9)
-        assert metrics.auc_roc(df, buckets=3).first() == metrics.auc_roc(df).first()
-        few = metrics.score_curve(df, buckets=3)
+    for rows in (1, 300, 2500):
+        evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
+        assert metrics.auc_roc(df, rows_per_range=rows).first()["auc"] == pytest.approx(evaluator.evaluate(df), abs=1e-9)
+        few = metrics.score_curve(df, rows_per_range=rows)
         assert few.agg(F.max("tp")).first()[0] == labels.sum()
 
 
