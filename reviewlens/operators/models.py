@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model, PipelineModel
@@ -23,6 +24,7 @@ from reviewlens.operators.stats import add_class_weights
 from reviewlens.session import stage
 
 SEED = 42
+LR_ROWS_PER_TASK = 20_000
 
 
 def lr_unweighted(max_iter: int = 100) -> LogisticRegression:
@@ -110,8 +112,18 @@ def score_models(models: Mapping[str, Model], test: DataFrame, keep: Sequence[st
     return together
 
 
+def fit_model(estimator: Estimator, train: DataFrame) -> Model:
+    """Logistic regression passes over the rows a hundred times, each time in a moment: on a small
+    table the tasks cost more than the work, so each task gets ``LR_ROWS_PER_TASK`` rows. A table
+    with more rows than that per partition stays as it is, and so do the costlier tree models.
+    """
+    if isinstance(estimator, LogisticRegression):
+        train = train.coalesce(max(1, math.ceil(train.count() / LR_ROWS_PER_TASK)))
+    return estimator.fit(train)
+
+
 def fit_all(estimators: Mapping[str, Estimator], train: DataFrame) -> dict[str, Model]:
-    return {name: estimator.fit(train) for name, estimator in estimators.items()}
+    return {name: fit_model(estimator, train) for name, estimator in estimators.items()}
 
 
 def compare_classic_models(
@@ -143,7 +155,7 @@ def lr_on_embeddings(
     train: DataFrame, test: DataFrame, method: str, features: str = "features", label: str = "Sentiment"
 ) -> DataFrame:
     """Logistic regression on dense vectors: one row of weighted metrics and the AUC."""
-    model = LogisticRegression(featuresCol=features, labelCol=label, maxIter=10).fit(train)
+    model = fit_model(LogisticRegression(featuresCol=features, labelCol=label, maxIter=10), train)
     scored = stage(
         model.transform(test).select(
             F.lit(method).alias("Method"),

@@ -63,32 +63,9 @@ def read_word_vectors(spark: SparkSession, path: str | Sequence[str], dim: int)
     )
 
 
-_NOTEBOOK = T.StructType(
-    [
-        T.StructField("notebook", T.StringType()),
-        T.StructField(
-            "cells",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField(
-                            "outputs",
-                            T.ArrayType(
-                                T.StructType(
-                                    [
-                                        T.StructField("text", T.StringType()),
-                                        T.StructField(
-                                            "data", T.StructType([T.StructField("text/plain", T.StringType())])
-                                        ),
-                                    ]
-                                )
-                            ),
-                        )
-                    ]
-                )
-            ),
-        ),
-    ]
+# Fixed value: the parts of a notebook file that hold printed results.
+_NOTEBOOK = (
+    "notebook string, cells array<struct<outputs: array<struct<text: string, data: struct<`text/plain`: string>>>>>"
 )
 
 
@@ -108,7 +85,9 @@ def _joined_chunks(chunk):
     return F.coalesce(F.array_join(listed, "\n"), chunk)
 
 
-def extract_metrics(notebooks: DataFrame, pattern: str = METRICS_LINE, required: Sequence[str] = EMBEDDING_METHODS) -> DataFrame:
+def extract_metrics(
+    notebooks: DataFrame, pattern: str = METRICS_LINE, required: Sequence[str] = EMBEDDING_METHODS
+) -> DataFrame:
     """``(notebook, model, accuracy, precision, recall, f1)`` from printed result lines.
 
     The last line of a model counts. A notebook without a line for each ``required`` model is an
