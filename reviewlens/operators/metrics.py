@@ -199,13 +199,11 @@ def _score_ranges(df: DataFrame, label: str, score: str, by: Sequence[str], rows
     known = df.select(*by, F.col(label).alias("label"), F.col(score).cast("double").alias("score")).dropna()
     buckets = min(math.ceil(known.count() / rows_per_range), MAX_RANGES)
     cuts = known.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets) if buckets > 1 else []
-    splits = [-math.inf, *sorted(set(cuts) - {-math.inf, math.inf}), math.inf]
+    splits = [-math.inf, *(sorted(set(cuts) - {-math.inf, math.inf}) or [0.0]), math.inf]
     positive = F.col("label") == 1
     counts = known.groupBy(*by, "score").agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    if len(splits) == 2:
-        return counts.withColumn("bucket", F.lit(0.0))
     return Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
 
 
