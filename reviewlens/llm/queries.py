@@ -4,27 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from reviewlens.llm import best_fit_packing, quality_classifier
 from reviewlens.llm.exact_dedup import exact_dedup
 from reviewlens.llm.near_dedup import near_classes
+from reviewlens.llm.source_mixing import mix_sources
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return best_fit_packing.pack(best_fit_packing.pieces(docs, TOKENIZER, with_ids=False))
+
+
+def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf, "labels"))
+    scored = quality_classifier.with_scores(docs, model)
+    return scored.select("doc_id", (quality_classifier.fold("doc_id") == 2).alias("held_out"), "score", "predicted")
+
+
 def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return exact_dedup(docs).drop("text")
 
 
+def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).drop("text", "source")
+
+
 def op10_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_classes(table(spark, sf, "documents"), shingle=3, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_source_mixing": op8_source_mixing,
     "op10_near_dedup": op10_near_dedup,
 }
