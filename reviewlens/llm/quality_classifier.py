@@ -72,7 +72,11 @@ def _index_vectors() -> np.ndarray:
 
 
 def _tokens(texts, memory: dict[str, tuple[int, int]]) -> Iterator[np.ndarray]:
-    """Of each text, the vocabulary rows of its words: one line for words, one for shapes."""
+    """Of each text, the vocabulary rows of its words: one line for words, one for shapes.
+
+    A word that repeats the one before it has a shape of its own.
+    """
+    repeated = _hash("r")
     for text in texts:
         words = text.split() if isinstance(text, str) else []
         pairs = []
@@ -83,7 +87,9 @@ def _tokens(texts, memory: dict[str, tuple[int, int]]) -> Iterator[np.ndarray]:
                     memory.clear()
                 rows = memory[word] = _rows_of(word)
             pairs.append(rows)
-        yield np.array(pairs, np.int32).reshape(-1, 2).T
+        lines = np.array(pairs, np.int32).reshape(-1, 2).T
+        lines[1, 1:][[word == before for word, before in zip(words[1:], words)]] = repeated
+        yield lines
 
 
 def _add_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
