@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from reviewlens.llm import best_fit_packing, quality_classifier
 from reviewlens.llm.exact_dedup import exact_dedup
 from reviewlens.llm.near_dedup import near_dedup
+from reviewlens.llm.source_mixing import mix_sources, mixed_rows
 from reviewlens.session import stage
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go; it learns from the ``labels`` of documents given."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.fit(docs, labels)
+    score, predicted = "quality_score", "quality_predicted"
+    scored = quality_classifier.with_scores(docs, model, score_col=score, predicted_col=predicted)
+    return scored.filter(F.col(predicted) == 1).select(docs.columns)
+
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
@@ -21,10 +36,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dedup(docs).filter("kept").select(docs.columns)
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time a document is taken; where one is taken in part, its text ends after those words."""
+    rows = mixed_rows(mix_sources(docs)).select(docs.columns)
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences of 4096 tokens."""
+    return best_fit_packing.pack(best_fit_packing.pieces(docs, TOKENIZER))
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
     ("exact duplicates", exact_duplicates),
     ("near duplicates", near_duplicates),
+    ("mixture", mixture),
+    ("packing", packing),
 ]
 
 
@@ -36,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Packing needs a tokenizer, which SQL has not; tests/llm/test_pipeline.py compares with plain Python.
+#: The quality model and the tokenizer have no SQL form; tests/llm/test_pipeline.py compares with plain Python.
 ORACLE_SQL = None

@@ -1,9 +1,17 @@
 """DuckDB SQL that gives the rows of the queries."""
 
+from reviewlens.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, Rule
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {}
 
+
+def _rule(rule: Rule) -> str:
+    bounds = [f"100 * {rule.part} {sign} {bound} * {rule.whole}" for sign, bound in ((">=", rule.least), ("<=", rule.most)) if bound is not None]
+    return " AND ".join(bounds)
+
+
 SQL["op7_exact_dedup"] = f"""
 WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -32,3 +40,82 @@ WITH RECURSIVE w AS (
 SELECT doc_id, any_value(n.n) AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept
 FROM r JOIN n USING (doc_id) GROUP BY doc_id
 """
+
+_STOP = ", ".join(f"'{w}', '{w.capitalize()}'" for w in STOP_WORDS)
+_W = "[^\\x20\\x09-\\x0D]+"
+
+SQL["op1_quality_rules"] = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_W}') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '{_W}')) AS lines
+  FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM t WHERE len(w) >= 3
+), g AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM p
+), r AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM g WHERE n > 1) GROUP BY doc_id
+), c AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclamations,
+         len(list_filter(w, lambda s: s IN ({_STOP}))) AS n_stop_words,
+         len(list_filter(w, lambda s: regexp_matches(s, '\\p{{L}}'))) AS n_letter_words, len(lines) AS n_lines,
+         len(list_filter(lines, lambda s: ltrim(s, ' ')[1] IN ('-', '*', '•'))) AS n_bullet_lines,
+         len(list_filter(lines, lambda s: rtrim(s, ' ') LIKE '%...' OR rtrim(s, ' ') LIKE '%…')) AS n_ellipsis_lines
+  FROM t LEFT JOIN r USING (doc_id)
+), b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {" AND ".join(_rule(r) for r in RULES)} AS kept
+FROM b
+"""
+
+_CANONICAL = r"""
+  CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_replace(path, '/index\.html?$', ''), '/+$', '')
+    || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'),
+         lambda p: p <> '' AND NOT starts_with(p, 'utm_') AND NOT starts_with(p, 'ref='))), '&'), ''), '') END
+"""
+
+SQL["op6_url_filter"] = f"""
+WITH p AS (
+  SELECT page_id, url, html,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), c AS (SELECT *, {_CANONICAL} AS form FROM p
+), u AS (SELECT max(url) AS url FROM pages GROUP BY html HAVING count(*) > 1
+), listed AS (SELECT DISTINCT form FROM c WHERE url IN (SELECT url FROM u) AND form IS NOT NULL
+), rules(verdict, h, pre, size) AS (
+  SELECT *, length(column1 || column2) FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+    ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) v(column0, column1, column2)
+), best AS (
+  SELECT page_id, arg_max(h || pre, size) AS rule, arg_max(verdict, size) AS verdict
+  FROM c JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN form IN (SELECT form FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN best USING (page_id)
+"""
+
+_ESCAPED = r"regexp_replace(coalesce({}, ''), '<(\\*)\|', '<\1\\|', 'g')"
+_ROLE = _ESCAPED.format("replace(replace(role, '%', '%25'), chr(10), '%0A')")
+
+SQL["op9_chat_format"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, count(*) OVER (PARTITION BY conv_id) AS n,
+         sum(length('<|im_start|>') + length({_ROLE}) + 1 + length({_ESCAPED.format('text')}) + length('<|im_end|>') + 1)
+           OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       coalesce(sum(upto) FILTER (role = 'assistant' OR k = n), 0)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""

@@ -210,13 +210,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(vectors, mean, scale, layers, _temperature(_forward(layers, x[check])[1], y[check]), 0.5)
 
 
-def with_scores(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+def with_scores(
+    docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7, score_col: str = "score", predicted_col: str = "predicted"
+) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on) from the whole text alone.
 
     A null or empty text has a score too, that of a document without words. Columns of the same names are
     replaced. An empty table gives an empty result.
     """
-    docs = without(docs, "score", "predicted")
+    docs = without(docs, score_col, predicted_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -225,6 +227,5 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text", threshold
         for texts in batches:
             yield pd.Series(shared.value.scores(_pooled(texts, shared.value.vectors, memory)))
 
-    return docs.withColumn("score", score(F.col(text_col).cast("string"))).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int")
-    )
+    scored = docs.withColumn(score_col, score(F.col(text_col).cast("string")))
+    return scored.withColumn(predicted_col, (F.col(score_col) >= threshold).cast("int"))
