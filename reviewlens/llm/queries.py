@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import best_fit_packing, chat_format, quality_classifier
 from reviewlens.llm.exact_dedup import exact_dedup
+from reviewlens.llm.line_dedup import line_classes
 from reviewlens.llm.near_dedup import near_classes
 from reviewlens.llm.quality_rules import BASE, quality_rules
+from reviewlens.llm.secret_scan import secret_scan
 from reviewlens.llm.source_mixing import mix_sources
 from reviewlens.llm.url_filter import Rule, url_filter
 
@@ -32,6 +34,16 @@ def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return best_fit_packing.pack(best_fit_packing.pieces(docs, TOKENIZER, with_ids=False))
 
 
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan(table(spark, sf, "documents"), path_col="source")
+
+
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines by digest; the class as the smallest document id of its lines and their number."""
+    classes = line_classes(table(spark, sf, "documents"))
+    return classes.select("doc_id", F.md5("line").alias("line_md5"), "copies", "class_doc_id", "kept")
+
+
 def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     model = quality_classifier.fit(docs, table(spark, sf, "labels"))
@@ -82,6 +94,8 @@ def op9_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
