@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.llm.columns import free_names
 from reviewlens.llm.components import connected_components
 from reviewlens.session import stage
 
@@ -215,13 +216,18 @@ def line_dedup(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text
     """``docs`` with only those lines that ``classes`` (of ``line_classes``) keeps, at their first document.
 
     Every line of a class but the kept one goes, and of the kept line all but the occurrence in the document
-    with the smallest id. Blank lines go too. Documents without lines left have empty text.
+    with the smallest id. Blank lines go too. Documents without lines left have empty text. Rows that repeat an
+    id with an equal text are one document; with another text, each may keep the line.
     """
-    numbered = docs.select(F.col(id_col).alias("own_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("number", "raw"))
-    kept = stage(classes.filter("kept").select("line", "doc_id"), "kept-lines")
+    own_id, own_text, new_text = free_names(docs, "own_id", "own_text", "new_text")
+    text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    numbered = docs.select(F.col(id_col).alias("id"), text_key.alias("key"), F.posexplode(F.split(F.col(text_col), "\n")).alias("number", "raw"))
+    kept = stage(classes.filter("kept").select(F.col("line").alias("kept_line"), F.col("doc_id").alias("kept_id")), "kept-lines")
     lines = numbered.withColumn("line", F.trim("raw", F.lit(_TRIM)))
-    left = lines.join(kept, (lines["line"] == kept["line"]) & lines["own_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    first = left.groupBy("own_id", "line").agg(F.min("number").alias("number"))
-    texts = first.groupBy("own_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("number", "line")))["line"], "\n").alias("own_text"))
-    joined = docs.join(texts, docs[id_col].eqNullSafe(texts["own_id"]), "left")
-    return joined.withColumn(text_col, F.coalesce("own_text", F.lit(""))).drop("own_id", "own_text")
+    left = lines.join(kept, (F.col("line") == F.col("kept_line")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    first = left.groupBy("id", "key", "line").agg(F.min("number").alias("number"))
+    ordered = F.sort_array(F.collect_list(F.struct("number", "line")))["line"]
+    texts = first.groupBy(F.col("id").alias(own_id), F.col("key").alias(own_text)).agg(F.array_join(ordered, "\n").alias(new_text))
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (text_key == F.col(own_text))
+    joined = docs.join(texts, same, "left").withColumn(text_col, F.coalesce(new_text, F.lit("")))
+    return joined.drop(own_id, own_text, new_text)
