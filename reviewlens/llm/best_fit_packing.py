@@ -18,8 +18,8 @@ from reviewlens.session import stage
 LENGTH, END_ID = 4096, 1
 #: Tokens of a shard, which one task packs: about 2000 sequences.
 SHARD_TOKENS = 2**23
-#: Improving moves of the local search in a shard, at most.
-MOVES = 20_000
+#: Steps of the local search in a shard, at most, and bins with the most room that a step starts from.
+MOVES, SOURCES = 200, 16
 
 
 def pieces(
@@ -116,30 +116,33 @@ class Bins:
             self.change(b, [], [(self.lengths[document], document)])
 
     def improve(self, moves: int) -> None:
-        """Empties the least filled bins, one after the other, by steps that increase the sum of squared fills.
+        """Empties bins by steps between underfull bins that increase the sum of squared fills.
 
-        A step moves a document out of the bin, exchanges one for a shorter one, one for two that are shorter
-        together, or two for one that is shorter than both together, always with a fuller bin that has room
-        for the difference. It ends when no bin can be spared or no step is left.
+        A step moves a document from one bin to a fuller one, or exchanges one for a shorter one, one for two
+        that are shorter together, or two for one that is shorter than both together, where the fuller bin has
+        room for the difference. Room gathers in ever fewer bins until these are empty. The search ends when no
+        bin can be spared, no step is left, or ``moves`` are made.
         """
         least = -(-sum(self.lengths) // self.size)
-        while moves > 0 and sum(r is not None for r in self.room) > least:
-            source = max((b for b, r in enumerate(self.room) if r is not None), key=lambda b: (self.room[b], b))
-            if not self.members[source] or not self._step(source):
+        used = sum(bool(m) for m in self.members)
+        while moves > 0 and used > least:
+            underfull = [b for r in range(self.size - 1, 0, -1) for b in sorted(self.by_room[r])]
+            source = next((b for b in underfull[:SOURCES] if self._step(b)), None)
+            if source is None:
                 break
+            used -= not self.members[source]
             moves -= 1
 
     def _step(self, source: int) -> bool:
+        """One step from ``source`` to a bin that is as full or fuller; whether there was one."""
         docs = self.members[source]
         room = self.room[source]
-        others = [b for r in range(room, 0, -1) for b in sorted(self.by_room[r]) if b != source]
-        if not others:
-            return False
         for item in reversed(docs):
             b = self._tightest_other(item[0], source)
-            if b is not None:
+            if b is not None and self.room[b] <= room:
                 self._swap(source, b, [item], [])
                 return True
+        others = [b for r in range(room, 0, -1) for b in sorted(self.by_room[r]) if b != source]
         bundles = [[x] for x in reversed(docs)] + [[x, y] for i, x in enumerate(docs) for y in docs[:i]]
         for b in others:
             theirs = self.members[b]

@@ -106,7 +106,8 @@ def _add_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             np.add.at(total, words, context)
             np.add.at(total, shapes, context)
     used = np.flatnonzero(total.any(1))
-    yield pd.DataFrame({"row": used, "vector": list(total[used])})
+    if len(used):
+        yield pd.DataFrame({"row": used, "vector": list(total[used])})
 
 
 def _pooled(texts, vectors: np.ndarray, memory: dict) -> np.ndarray:
@@ -186,7 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         memory: dict = {}
         for batch in batches:
             pooled = _pooled(batch["text"], shared.value, memory)
-            yield pd.DataFrame({"fold": batch["fold"], "label": batch["label"], "pooled": list(pooled)})
+            if len(batch):
+                yield pd.DataFrame({"fold": batch["fold"], "label": batch["label"], "pooled": list(pooled)})
 
     rows = (
         sample.withColumn("fold", fold("id").cast("int"))
