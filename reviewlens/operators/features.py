@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 from reviewlens.functions.text import english_stopwords
 from reviewlens.operators.keywords import vocab_document_freq
 
-MAX_DRIVER_VOCABULARY = 1_000_000
-
 
 def tokenizer_stages(text: str, kind: str) -> list:
     """Stages from text to ``tokens``: 'letters', 'nonword' or 'ngrams'."""
@@ -56,8 +54,6 @@ def count_vectorizer(
     comes from one pass over the data; at most ``vocab_size`` terms reach the driver,
     as every ``CountVectorizerModel`` holds them there.
     """
-    if vocab_size > MAX_DRIVER_VOCABULARY:
-        raise ValueError(f"vocab_size must not exceed {MAX_DRIVER_VOCABULARY}")
     found = vocab_document_freq(df, tokens, min_df, vocab_size, with_rows=True).collect()
     rows = sum(row["df"] for row in found if row["term"] is None)
     terms = [row for row in found if row["term"] is not None]
@@ -118,8 +114,8 @@ def tfidf_long(
     """``(key, term, tf, tfidf)`` for the terms of the vocabulary.
 
     ``smooth`` adds one to the inverse document frequency; ``normalize`` scales each row's values to
-    Euclidean length one. The vocabulary side of the join holds at most ``vocab_size`` rows and is
-    broadcast while that is small.
+    Euclidean length one. The vocabulary is a written table of at most ``vocab_size`` rows, which Spark
+    broadcasts while it is small.
     """
     counted = term_counts(df, key, tokens)
     rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
@@ -132,8 +128,6 @@ def tfidf_long(
     )
     idf = F.log((rows + 1) / (F.col("df") + 1)) + F.lit(1.0 if smooth else 0.0)
     weights = kept.select("term", idf.alias("idf"))
-    if vocab_size <= MAX_DRIVER_VOCABULARY:
-        weights = F.broadcast(weights)
     weighted = counted.join(weights, "term").select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
     if not normalize:
         return weighted

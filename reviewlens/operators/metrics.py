@@ -7,16 +7,15 @@ in the same job.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 10_000
+from reviewlens.session import stage
 
 
 def confusion_cells(
@@ -189,40 +188,42 @@ def metrics_rows(
 # --- ranking metrics -------------------------------------------------------------------------
 
 
-def _score_ranges(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per_range: int) -> DataFrame:
-    """Positives and negatives per distinct score, and the range (``bucket``) the score falls in.
+def _score_ranges(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
+    """Positives and negatives per distinct score, and the range (``bucket``) of scores it falls in.
 
-    A running sum over all scores would need them in one task. The scores are cut into ranges of
-    about ``rows_per_range`` rows at approximate quantiles, so sums can run within a range and over
-    the ranges. The cut points only balance the work: any would give the exact sums.
+    A running sum over all scores would need them in one task. Distinct scores are dealt to as many
+    ranges as there are shuffle partitions, from the highest down, so sums can run within a range and
+    over the ranges. Where they are cut only balances the work: any cut gives the exact sums. The ranges
+    are written once, so that both sums see the same. A null label, and a score that is null or not a
+    number, raise an error: leaving such rows out would change the area unseen.
     """
-    known = df.select(*by, F.col(label).alias("label"), F.col(score).cast("double").alias("score")).dropna()
-    buckets = min(math.ceil(known.count() / rows_per_range), MAX_RANGES)
-    cuts = known.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets) if buckets > 1 else []
-    splits = [-math.inf, *(sorted(set(cuts) - {-math.inf, math.inf}) or [0.0]), math.inf]
+    value = F.col(score).cast("double")
+    bad = F.col(label).isNull() | value.isNull() | F.isnan(value)
+    checked = F.when(bad, F.raise_error(F.lit("null label, or score that is null or not a number"))).otherwise(value)
     positive = F.col("label") == 1
-    counts = known.groupBy(*by, "score").agg(
-        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+    counts = (
+        df.select(*by, F.col(label).alias("label"), checked.cast("double").alias("score"))
+        .groupBy(*by, "score")
+        .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )
-    return Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
+    ranged = counts.repartitionByRange(*by, F.desc("score")).withColumn("bucket", F.spark_partition_id())
+    return stage(ranged, "score-ranges")
 
 
-def score_curve(
-    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
+def score_curve(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: positives and negatives there (``pos``, ``neg``) and at or above it (``tp``, ``fp``)."""
-    ranged = _score_ranges(df, label, score, by, rows_per_range)
+    ranged = _score_ranges(df, label, score, by)
     inside = W.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
-    above = W.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
+    above = W.partitionBy(*by).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     sums = ranged.groupBy(*by, "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     offsets = sums.select(
-        *by,
-        "bucket",
+        *(F.col(name).alias(f"_{name}") for name in (*by, "bucket")),
         F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_above"),
         F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("neg_above"),
     )
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in (*by, "bucket")))
     running = ranged.withColumn("pos_sum", F.sum("pos").over(inside)).withColumn("neg_sum", F.sum("neg").over(inside))
-    return running.join(offsets, [*by, "bucket"]).select(
+    return running.join(offsets, same).select(
         *by,
         "score",
         "pos",
@@ -232,17 +233,15 @@ def score_curve(
     )
 
 
-def auc_roc(
-    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
+def auc_roc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve; null when a class is missing.
 
     It is the share of (positive, negative) pairs that the score orders rightly, ties counting half:
     pairs within a range of scores, plus all positives of the ranges above times the negatives.
     """
-    ranged = _score_ranges(df, label, score, by, rows_per_range)
+    ranged = _score_ranges(df, label, score, by)
     inside = W.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
-    above = W.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
+    above = W.partitionBy(*by).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     pairs = (F.sum("pos").over(inside) - F.col("pos") / 2) * F.col("neg")
     ranges = (
         ranged.withColumn("pairs", pairs)

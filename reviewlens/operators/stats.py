@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions.text import URL, word_count_raw
 from reviewlens.operators.splits import TEST, TRAIN, split_key
-
-MAX_CLASSES = 1000
+from reviewlens.session import stage
 
 
 def row_counts(
@@ -73,22 +72,28 @@ def word_count_stats(df: DataFrame, words: str = "words", relative_error: float
     )
 
 
+def _with_mean(histogram: DataFrame) -> DataFrame:
+    """A histogram of ``w`` (words) and ``n`` (rows) with the mean: one row per different count, in one task."""
+    w, known = F.col("w").cast("double"), F.when(F.col("w").isNotNull(), F.col("n"))
+    everything = W.partitionBy()
+    return histogram.withColumn("mean", F.sum(w * known).over(everything) / F.sum(known).over(everything))
+
+
 def _word_moments() -> list[Column]:
-    """Aggregates over a histogram with columns ``w`` (words) and ``n`` (rows)."""
-    w, n = F.col("w").cast("double"), F.when(F.col("w").isNotNull(), F.col("n"))
+    """Aggregates over a histogram with its mean. Distances to the mean keep all digits of the variance."""
+    away, n = F.col("w").cast("double") - F.col("mean"), F.when(F.col("w").isNotNull(), F.col("n"))
     return [
         F.sum(n).alias("rows"),
-        F.sum(w * n).alias("total"),
-        F.sum(w * w * n).alias("squares"),
+        F.max("mean").alias("average"),
+        F.sum(away * away * n).alias("squares"),
         F.percentile("w", 0.5, F.coalesce(n, F.lit(0))).alias("middle"),
     ]
 
 
 def _word_figures(suffix: str = "") -> list[Column]:
-    rows, total = F.col("rows"), F.col("total")
-    variance = F.when(rows > 1, (F.col("squares") - total * total / rows) / (rows - 1))
+    variance = F.when(F.col("rows") > 1, F.col("squares") / (F.col("rows") - 1))
     return [
-        F.round(total / rows, 2).alias(f"mean{suffix}"),
+        F.round("average", 2).alias(f"mean{suffix}"),
         F.round(variance, 2).alias(f"variance{suffix}"),
         F.round(F.sqrt(variance), 2).alias(f"std{suffix}"),
         F.round("middle", 2).alias(f"median{suffix}"),
@@ -102,7 +107,7 @@ def word_count_stats_exact(df: DataFrame, words: str = "words") -> DataFrame:
     of rows, so the one task that finds the median holds little.
     """
     histogram = df.groupBy(F.col(words).cast("long").alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    return histogram.agg(*_word_moments()).select(*_word_figures())
+    return _with_mean(histogram).agg(*_word_moments()).select(*_word_figures())
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -116,16 +121,12 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 def add_class_weights(df: DataFrame, label: str = "label", out: str = "classWeight") -> DataFrame:
     """Adds the weight of each row's class.
 
-    A join on the label would shuffle all rows onto as many keys as there are classes. The few
-    weights go into the plan as a literal map instead, after a check that they are few.
+    The weights are a written table whose size Spark knows: it is broadcast while it is small, and
+    joined by a shuffle, in which a large class is split between tasks, when there are very many
+    classes. Rows without label have no weight.
     """
-    rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"column {label!r} has more than {MAX_CLASSES} classes")
-    if not rows:
-        return df.withColumn(out, F.lit(None).cast("double"))
-    pairs = [F.lit(value) for row in rows for value in (row[label], row["weight"])]
-    return df.withColumn(out, F.try_element_at(F.create_map(*pairs), F.col(label)))
+    weights = stage(class_weights(df, label).select(F.col(label).alias("_class"), F.col("weight").alias(out)), "class-weights")
+    return df.drop(out).join(weights, F.col(label) == F.col("_class"), "left").drop("_class")
 
 
 def dataset_stats(df: DataFrame, text: str, label: str, split: str = "split", positive=1, negative=0) -> DataFrame:
@@ -137,7 +138,7 @@ def dataset_stats(df: DataFrame, text: str, label: str, split: str = "split", po
     def rows_where(condition):
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    totals = histogram.agg(
+    totals = _with_mean(histogram).agg(
         rows_where(F.col("side") == TRAIN).alias("train_samples"),
         rows_where(F.col("side") == TEST).alias("test_samples"),
         rows_where(F.col("class") == negative).alias("negative_count"),

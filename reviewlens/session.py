@@ -18,7 +18,7 @@ def local_session(app: str = "reviewlens", cores: str = "*", shuffle_partitions:
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config(_CHECKPOINT_CONF, tempfile.mkdtemp(prefix="reviewlens-"))
@@ -66,9 +66,3 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Distribute a table that fewer tasks read than there are cores, as one small file; others stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df

@@ -80,11 +80,26 @@ def test_areas_equal_the_evaluator(spark, distinct):
     ):
         evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", metricName=metric, numBins=0)
         assert area(df).first()[column] == pytest.approx(evaluator.evaluate(df), abs=1e-9)
-    for rows in (1, 300, 2500):
-        evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
-        assert metrics.auc_roc(df, rows_per_range=rows).first()["auc"] == pytest.approx(evaluator.evaluate(df), abs=1e-9)
-        few = metrics.score_curve(df, rows_per_range=rows)
-        assert few.agg(F.max("tp")).first()[0] == labels.sum()
+    curve = metrics.score_curve(df)
+    assert curve.agg(F.max("tp"), F.max("fp")).first() == (labels.sum(), (1 - labels).sum())
+
+
+def test_areas_by_group(spark):
+    rows = [(m, float(i % 3 == 0), float(i % k)) for m, k in ((None, 7), ("a", 50), ("b", 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "m string, label double, score double")
+    got = {r["m"]: r["auc"] for r in metrics.auc_roc(df, by=["m"]).collect()}
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
+    for m in (None, "a", "b"):
+        assert got[m] == pytest.approx(evaluator.evaluate(df.filter(df["m"].eqNullSafe(m))), abs=1e-9)
+    assert metrics.score_curve(df, by=["m"]).groupBy("m").agg(F.max("tp")).count() == 3
+
+
+@pytest.mark.parametrize("label, score", [(None, 0.5), (1.0, None), (1.0, float("nan"))])
+def test_areas_refuse_unknown_values(spark, label, score):
+    df = spark.createDataFrame([(1.0, 0.5), (0.0, 0.2), (label, score)], "label double, score double")
+    for area in (metrics.auc_roc, metrics.auc_pr):
+        with pytest.raises(Exception, match="null label"):
+            area(df).collect()
 
 
 def test_threshold_sweep_is_brute_force(spark):

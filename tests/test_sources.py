@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from reviewlens.session import scratch_path, shared_folder, spread, stage
+from reviewlens.session import scratch_path, shared_folder, stage
 from reviewlens.sources import readers, writers
 
 
@@ -76,9 +76,3 @@ def test_shared_folder(spark):
     staged = stage(spark.range(5).withColumn("v", F.lit(1.5)), "t")
     assert staged.schema.simpleString() == "struct<id:bigint,v:double>"
     assert folder in staged.inputFiles()[0] and staged.count() == 5
-
-
-def test_spread(spark):
-    one, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 64)
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many) is many
