@@ -31,39 +31,10 @@ def margin_to_probability(raw: Column, mllib_scale: bool = False) -> Column:
 
 
 def sparse_entries(df: DataFrame, vector: str, keep: Sequence[str]) -> DataFrame:
-    """``keep`` columns plus ``indices`` and ``values`` of a vector column, non-zero entries only.
-
-    A vector reaches Arrow as its storage struct, so the fields are handed on without building
-    Python objects, and a sparse vector is never made dense.
-    """
-
-    def unpack(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            fields = batch.column(batch.schema.get_field_index(vector))
-            size_of = fields.field("values")
-            index_of = fields.field("indices")
-            dense = index_of.is_null()
-            indices = index_of
-            if pa.compute.any(dense).as_py():
-                filled = [
-                    np.arange(len(size_of[row]), dtype=np.int32) if dense[row].as_py() else index_of[row].values
-                    for row in range(len(index_of))
-                ]
-                indices = pa.array(filled, type=pa.list_(pa.int32()))
-            rest = [batch.column(batch.schema.get_field_index(name)) for name in keep]
-            yield pa.RecordBatch.from_arrays([*rest, indices, size_of], names=[*keep, "indices", "values"])
-
-    schema = T.StructType(
-        [df.schema[name] for name in keep]
-        + [
-            T.StructField("indices", T.ArrayType(T.IntegerType())),
-            T.StructField("values", T.ArrayType(T.DoubleType())),
-        ]
-    )
-    return df.select(*keep, vector).mapInArrow(unpack, schema)
+    """``keep`` columns plus ``indices`` and ``values`` of a vector column; a sparse vector is not made dense."""
+    fields = df.select(*keep, F.unwrap_udt(vector).alias("_v"))
+    every = F.when(F.size("_v.values") > 0, F.sequence(F.lit(0), F.size("_v.values") - 1)).otherwise(F.array().cast("array<int>"))
+    return fields.select(*keep, F.coalesce("_v.indices", every).alias("indices"), F.col("_v.values").alias("values"))
 
 
 def sparse_vectors(df: DataFrame, size: int, keep: Sequence[str], out: str) -> DataFrame:

@@ -142,7 +142,7 @@ def bigram_model_suite(
 def lr_on_embeddings(
     train: DataFrame, test: DataFrame, method: str, features: str = "features", label: str = "Sentiment"
 ) -> DataFrame:
-    """Logistic regression on dense vectors: one row of weighted metrics and the AUC."""
+    """Logistic regression on dense vectors: one row of weighted metrics, AUC and the matrix."""
     model = LogisticRegression(featuresCol=features, labelCol=label, maxIter=10).fit(train)
     scored = stage(
         model.transform(test).select(
@@ -154,5 +154,5 @@ def lr_on_embeddings(
         "embedding-scores",
     )
     return metrics_rows(scored).join(auc_roc(scored, by=["Method"]), "Method", "left").select(
-        "Method", "Accuracy", "Precision", "Recall", "F1", F.round("auc", 4).alias("AUC")
+        "Method", "Accuracy", "Precision", "Recall", "F1", F.round("auc", 4).alias("AUC"), "TN", "FP", "FN", "TP"
     )

@@ -37,7 +37,7 @@ def dataset_payload(
     label: str = "label",
     k: int = 120,
     notes: Mapping[str, str] | None = None,
-    title: str = "Visualization + Data Statistics",
+    title: str = "Review statistics",
 ) -> DataFrame:
     """One row: statistics, class counts, model metrics, matrices, keywords and notes.
 

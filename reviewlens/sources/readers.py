@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,12 @@ def read_reviews_csv(
 ) -> DataFrame:
     """CSV with a header. Quoted fields may hold newlines and doubled quotes.
 
-    ``schema`` names the wanted columns (found by header name, in any order and among others);
-    ``None`` infers all. An empty field is null, a quoted empty field an empty string. A file with newlines inside fields cannot be split among tasks: keep such
-    input in many files, or pass ``multi_line=False`` where fields hold no newlines.
+    ``schema`` names the wanted columns; ``None`` infers all. Each path of a list is read by its own
+    header, in which columns stand in any order and among others, and a wanted column that a path has
+    not is null. The files of one path must have the same header: another one is an error, not a mix-up.
+    An empty field is null, a quoted empty field an empty string. A file with newlines inside fields
+    cannot be split among tasks: keep such input in many files, or pass ``multi_line=False`` where
+    fields hold no newlines.
     """
     options = {
         "header": True,
@@ -36,11 +40,16 @@ def read_reviews_csv(
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
         "nullValue": "\u0000",  # by default it equals the empty string, and both are read as null
+        "enforceSchema": False,  # headers are compared with the first one
     }
     if schema is None:
         return spark.read.options(**options, inferSchema=True).csv(path)
-    as_text = spark.read.options(**options, inferSchema=False).csv(path)
-    return as_text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    parts = []
+    for one in [path] if isinstance(path, str) else path:
+        as_text = spark.read.options(**options, inferSchema=False).csv(one)
+        there = {f.name: F.col(f"`{f.name}`") if f.name in as_text.columns else F.lit(None) for f in schema.fields}
+        parts.append(as_text.select(*[there[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_vectors(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -50,16 +59,19 @@ def read_vectors(spark: SparkSession, path: str | Sequence[str], columns: Sequen
 
 
 def read_word_vectors(spark: SparkSession, path: str | Sequence[str], dim: int) -> DataFrame:
-    """``word v1 ... vn`` lines, each word once, as ``(word, vector)``; another number of fields is an error."""
+    """``word v1 ... vn`` lines as ``(word, vector)``; another number of fields is an error.
+
+    Of lines with the same word the last one counts, as when a dictionary is filled from them.
+    """
     parts = F.split(F.trim("value"), r"\s+")
     lines = spark.read.text(path).filter(F.trim("value") != "").select(parts.alias("parts"))
     size = F.size("parts")
     checked = F.when(size == dim + 1, F.col("parts")).otherwise(
         F.raise_error(F.concat(F.lit(f"expected a word and {dim} numbers, found fields: "), size.cast("string")))
     )
-    return lines.select(checked.alias("parts")).select(
-        F.col("parts")[0].alias("word"),
-        F.slice("parts", 2, dim).cast("array<float>").alias("vector"),
+    numbered = lines.select(checked.alias("parts"), F.monotonically_increasing_id().alias("line"))
+    return numbered.groupBy(F.col("parts")[0].alias("word")).agg(
+        F.max_by(F.slice("parts", 2, dim).cast("array<float>"), "line").alias("vector")
     )
 
 

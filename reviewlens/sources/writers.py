@@ -20,18 +20,9 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").options(**_CSV).csv(path)
 
 
-def write_splits_csv(
-    df: DataFrame,
-    train_path: str,
-    test_path: str,
-    columns: Sequence[str] = ("Review", "Rating", "Sentiment"),
-    single_file: bool = False,
-) -> None:
-    """Both sides of a ``stable_split`` as CSV."""
-    from reviewlens.operators.splits import TEST, TRAIN
-
-    for side, path in ((TRAIN, train_path), (TEST, test_path)):
-        write_csv(df.filter(df["split"] == side).select(*columns), path, single_file)
+def write_splits_csv(df: DataFrame, path: str, columns: Sequence[str] = ("Review", "Rating", "Sentiment")) -> None:
+    """Both sides of a ``stable_split`` as CSV, in one pass: folders ``split=train`` and ``split=test``."""
+    df.select("split", *columns).write.mode("overwrite").partitionBy("split").options(**_CSV).csv(path)
 
 
 def write_vectors(df: DataFrame, path: str) -> None:

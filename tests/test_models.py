@@ -136,7 +136,7 @@ def test_threshold_moving(small):
 
 def test_smote_lr(small):
     row = imbalance.smote_lr(small.filter("doc_id < 300"), small.filter("doc_id >= 300")).first()
-    assert row["Method"] == "Innovation1_SMOTE_LR" and row["Accuracy"] > 0.6
+    assert row["Method"] == "Balanced by synthetic rows" and row["Accuracy"] > 0.6
 
 
 def test_pseudo_label(spark, sf):

@@ -23,7 +23,8 @@ BOUNDED_ACTIONS = {
 LAZY = [
     name
     for name in oracle.statements()
-    if not name.startswith(("scan_", "sink_")) and name not in ("dataset_payload", "word2vec_fit_transform", "word_vector_table")
+    if not name.startswith(("scan_", "sink_"))
+    and name not in ("dataset_payload", "word2vec_fit_transform", "word_vector_table", *oracle.model_rows())
 ]
 
 

@@ -27,6 +27,26 @@ def test_csv_from_elsewhere(spark, tmp_path):
     assert [tuple(r) for r in got] == [('He said "no"\nand left', "3.0"), ("plain", "abc")]
 
 
+def test_csv_headers_of_each_path(spark, tmp_path):
+    texts = {"a": "Review,Rating\nt1,5\n", "b": "Rating,Review\n4,t2\n", "c": "id,Review\n7,t3\n", "d": "Rating,extra,Review\n1,x,t4\n"}
+    paths = []
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text(text)
+        paths.append(str(tmp_path / name))
+    got = sorted(tuple(r) for r in readers.read_reviews_csv(spark, paths).collect())
+    assert got == [("t1", "5"), ("t2", "4"), ("t3", None), ("t4", "1")]
+    for multi_line in (True, False):
+        with pytest.raises(PySparkException):
+            readers.read_reviews_csv(spark, str(tmp_path / "[ab]"), multi_line=multi_line).collect()
+
+
+def test_last_word_vector_counts(spark, tmp_path):
+    file = tmp_path / "vectors.txt"
+    file.write_text("a 1 1\na 3 3\nb 10 10\n")
+    assert {r["word"]: r["vector"] for r in readers.read_word_vectors(spark, str(file), 2).collect()} == {"a": [3.0, 3.0], "b": [10.0, 10.0]}
+
+
 def test_word_vectors(spark, tmp_path):
     good, bad = tmp_path / "good.txt", tmp_path / "bad.txt"
     good.write_text("the 0.5 -1 2e-3\n\ncafé 1 2 3\n")

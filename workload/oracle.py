@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from reviewlens.functions.text import DOMAIN_STOPWORDS_LONG, DOMAIN_STOPWORDS_SHORT
+
 # Spark's English stop words.
 ENGLISH = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers "
@@ -15,15 +17,7 @@ ENGLISH = (
     "shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's "
     "who's why's would"
 ).split()
-# Words about the reviewed works, long and short list.
-DOMAIN_LONG = (
-    "album albums also dark dont floyd get going good great just like made make moon movie movies music netflix one "
-    "pink que really series show shows song songs story take thing time watch watched watching will"
-).split()
-DOMAIN_SHORT = (
-    "album albums dark dont floyd good great just like moon movie movies music netflix one pink que really series "
-    "show shows song songs story time watch watched watching"
-).split()
+DOMAIN_LONG, DOMAIN_SHORT = list(DOMAIN_STOPWORDS_LONG), list(DOMAIN_STOPWORDS_SHORT)
 
 
 def _words(*lists: list[str]) -> str:
@@ -450,12 +444,18 @@ def statements() -> dict[str, str]:
         "tfidf_bigram_l2": _bigrams(),
         "tfidf_bigram_l2_long": _bigrams(),
         "word2vec_fit_transform": _with(
-            """SELECT doc_id, CAST(Sentiment = 'positive' AS INTEGER) AS Sentiment, 100 AS dims
-            FROM labelled JOIN clean_words USING (doc_id) WHERE len(words) > 0""",
-            "labelled",
+            """SELECT doc_id, CAST(Sentiment = 'positive' AS INTEGER) AS Sentiment, 100 AS dims, count(*) AS n,
+            count(learned.word) AS known, true AS is_mean
+            FROM (SELECT doc_id, Sentiment, unnest(words) AS word FROM sided JOIN clean_words USING (doc_id) WHERE split = 'test') t
+            LEFT JOIN learned USING (word) GROUP BY doc_id, Sentiment""",
+            "sided",
             "clean_words",
+            extra={
+                "learned": """SELECT word FROM (SELECT unnest(words) AS word FROM clean_words JOIN sided USING (doc_id)
+                WHERE split = 'train') GROUP BY word HAVING count(*) >= 2"""
+            },
         ),
-        "word_vector_table": _with("SELECT word, 100 AS dims FROM word_counts WHERE n >= 2", "word_counts"),
+        "word_vector_table": _with("SELECT word, 100 AS dims, true AS learned FROM word_counts WHERE n >= 2", "word_counts"),
         "pretrained_doc_vectors": _with(
             f"""SELECT doc_id, coalesce(round(sum(total) / count(total), 6), 0.0) AS total
             FROM (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [NULL] ELSE words END) AS word FROM clean_words)
@@ -498,4 +498,45 @@ def statements() -> dict[str, str]:
         "smote_balance": """SELECT label, max(n) OVER () AS n, n AS original FROM (SELECT CAST(label = 0 AS INTEGER) AS label, count(*) AS n
             FROM embeddings GROUP BY ALL)""",
     }
+    return sql | model_rows()
+
+
+_MAJORITY = """(SELECT Sentiment FROM sided WHERE split = 'train' GROUP BY Sentiment ORDER BY count(*) DESC, Sentiment LIMIT 1)"""
+CLASSIC = ["Logistic Regression (Baseline)", "Decision Tree (Weighted)", "Random Forest (Weighted)", "Gradient Boosting"]
+BIGRAM = ["Logistic Regression (Baseline)", "Decision Tree", "Random Forest", "Gradient Boosting"]
+
+
+def _test_rows(methods: list[str], zero: str, *more: str) -> str:
+    """A row per method: test rows of class 0 (whose sentiment is ``zero``) and of class 1."""
+    names = ", ".join(f"('{name}')" for name in methods)
+    extra = "".join(f", {column}" for column in more)
+    return _with(
+        f"""SELECT Method, count(*) FILTER (Sentiment = {zero}) AS negatives, count(*) FILTER (Sentiment <> {zero}) AS positives,
+        true AS accuracy_fits{extra} FROM sided, (VALUES {names}) m(Method) WHERE split = 'test' GROUP BY Method""",
+        "sided",
+    )
+
+
+def model_rows() -> dict[str, str]:
+    single = {
+        "lr_unweighted": "Logistic Regression",
+        "lr_weighted": CLASSIC[0],
+        "dt_weighted": CLASSIC[1],
+        "rf_weighted": CLASSIC[2],
+        "gbt_plain": CLASSIC[3],
+    }
+    sql = {name: _test_rows([method], _MAJORITY, "count(*) AS sound_rows") for name, method in single.items()}
+    sql["compare_classic_models"] = _test_rows(CLASSIC, _MAJORITY)
+    sql["bigram_model_suite"] = _test_rows(BIGRAM, "'negative'")
+    sql["lr_on_embeddings"] = _test_rows(["Word2Vec", "GloVe", "BERT"], "'negative'", "true AS auc_in_range")
+    for name in ("cv_decision_tree", "cv_random_forest", "cv_gbt"):
+        sql[name] = _test_rows([name], _MAJORITY, "true AS score_in_range", "true AS winner_is_best")
+    sql["best_params"] = """SELECT *, true AS winner_is_best FROM (VALUES ('maxDepth'), ('impurity'), ('maxBins'),
+        ('minInstancesPerNode'), ('minInfoGain'), ('minWeightFractionPerNode')) p(param)"""
+    sql["weighted_ensemble"] = _test_rows(["Weighted vote"], "'positive'")
+    sql["smote_lr"] = _test_rows(["Balanced by synthetic rows"], "'positive'")
+    sql["threshold_moving"] = _test_rows(["Moved threshold"], "'positive'", "true AS threshold_in_grid")
+    labelled = """(SELECT count(*) FROM sided WHERE split = 'train'
+        AND ('0x' || substr(md5('42|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < 0.8) AS labeled_rows"""
+    sql["pseudo_label"] = _test_rows(["Learned from own labels"], "'positive'", labelled, "true AS adds_up")
     return sql

@@ -42,9 +42,12 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 @query
 def scan_csv_reviews(spark, sf):
-    path = scratch_path(spark, "reviews-csv")
-    writers.write_csv(fx.raw_reviews(spark, sf).select("Review", "Rating"), path)
-    return readers.read_reviews_csv(spark, path)
+    """Two folders whose headers differ in order; together they hold every row."""
+    reviews = fx.raw_reviews(spark, sf)
+    paths = [scratch_path(spark, "reviews-csv") for _ in range(2)]
+    for rest, (path, columns) in enumerate(zip(paths, (["Review", "Rating"], ["Rating", "doc_id", "Review"]))):
+        writers.write_csv(reviews.filter(F.col("doc_id") % 2 == rest).select(*columns), path)
+    return readers.read_reviews_csv(spark, paths)
 
 
 @query
@@ -87,12 +90,12 @@ def rows_to_frame(spark, sf):
 
 @query
 def sink_csv_splits(spark, sf):
-    train, test = scratch_path(spark, "train-csv"), scratch_path(spark, "test-csv")
-    writers.write_splits_csv(fx.split_reviews(spark, sf), train, test)
+    path = scratch_path(spark, "splits-csv")
+    writers.write_splits_csv(fx.split_reviews(spark, sf), path)
     schema = "Review string, Rating double, Sentiment string"
     sides = [
-        readers.read_reviews_csv(spark, path, T.StructType.fromDDL(schema)).withColumn("split", F.lit(name))
-        for name, path in (("train", train), ("test", test))
+        readers.read_reviews_csv(spark, f"{path}/split={name}", T.StructType.fromDDL(schema)).withColumn("split", F.lit(name))
+        for name in ("train", "test")
     ]
     return sides[0].unionByName(sides[1])
 
@@ -532,19 +535,30 @@ def tfidf_bigram_l2_long(spark, sf):
 
 @query
 def word2vec_fit_transform(spark, sf):
-    words = stage(embeddings.embedding_tokens(fx.labelled(spark, sf)).select("doc_id", "Sentiment", "words"), "words")
-    model = embeddings.fit_word2vec(words)
-    vectors = model.transform(words)
+    """Learned on the train side, applied to the test side. A document's vector is the mean of its words'."""
+    divided = stage(
+        embeddings.embedding_tokens(fx.split_reviews(spark, sf)).select("doc_id", "Sentiment", "words", "split"), "words"
+    )
+    model = embeddings.fit_word2vec(splits.part(divided, "train"))
+    vectors = model.transform(splits.part(divided, "test"))
+    known = model.getVectors().select("word", to_array(F.col("vector")).alias("v"))
+    spread = vectors.select("doc_id", F.explode_outer("words").alias("word")).join(known, "word", "left")
+    total = F.sum(F.coalesce(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), F.lit(0.0)))
+    sums = spread.groupBy("doc_id").agg(F.count("word").alias("n"), F.count("v").alias("known"), total.alias("total"))
+    own = F.aggregate(to_array(F.col("features")), F.lit(0.0), lambda a, x: a + x)
+    is_mean = (F.abs(own - F.col("total") / F.col("n")) < 0.001).alias("is_mean")
     label = labels.binary_label(F.col("Sentiment")).alias("Sentiment")
-    return vectors.select("doc_id", label, F.size(to_array(F.col("features"))).alias("dims"))
+    return vectors.join(sums, "doc_id").select(
+        "doc_id", label, F.size(to_array(F.col("features"))).alias("dims"), "n", "known", is_mean
+    )
 
 
 @query
 def word_vector_table(spark, sf):
-    """One training pass: the vocabulary does not depend on it."""
     words = stage(embeddings.embedding_tokens(fx.documents(spark, sf), "text").select("words"), "words")
-    model = embeddings.fit_word2vec(words, iterations=1)
-    return embeddings.word_vector_table(model).select("word", F.size(to_array(F.col("vector"))).alias("dims"))
+    vectors = embeddings.word_vector_table(embeddings.fit_word2vec(words))
+    length = F.aggregate(to_array(F.col("vector")), F.lit(0.0), lambda a, x: a + x * x)
+    return vectors.select("word", F.size(to_array(F.col("vector"))).alias("dims"), (length > 0).alias("learned"))
 
 
 @query
@@ -571,10 +585,32 @@ def array_vector_convert(spark, sf):
 # --- models --------------------------------------------------------------------------------------
 
 
+def _support(rows: DataFrame, *more: str) -> DataFrame:
+    """Of comparison rows, what the tables fix whatever was learned: rows of both classes, and whether the
+    accuracy is the one of the matrix."""
+    right, total = F.col("TN") + F.col("TP"), F.col("TN") + F.col("FP") + F.col("FN") + F.col("TP")
+    return rows.select(
+        "Method",
+        (F.col("TN") + F.col("FP")).alias("negatives"),
+        (F.col("FN") + F.col("TP")).alias("positives"),
+        (F.abs(F.col("Accuracy") - right / total) < 0.000051).alias("accuracy_fits"),
+        *more,
+    )
+
+
+def _sound_rows(model, test: DataFrame) -> int:
+    """Rows whose probabilities add up to 1, and whose prediction is the likelier class."""
+    p = to_array(F.col("probability"))
+    likelier = F.col("prediction") == F.when(p[1] > p[0], 1.0).otherwise(0.0)
+    return model.transform(test).agg(F.count_if((F.abs(p[0] + p[1] - 1) < 1e-9) & likelier)).first()[0]
+
+
 def _one_model(name: str, make: Callable, method: str) -> None:
     def run(spark, sf):
         train, test, _ = models.prepare_features(*fx.train_test(spark, sf))
-        return metrics.metrics_rows(models.score_models(models.fit_all({method: make()}, train), test))
+        fitted = models.fit_all({method: make()}, train)
+        rows = metrics.metrics_rows(models.score_models(fitted, test))
+        return _support(rows).withColumn("sound_rows", F.lit(_sound_rows(fitted[method], test)).cast("long"))
 
     run.__name__ = name
     query(run)
@@ -589,24 +625,37 @@ _one_model("gbt_plain", models.gbt_plain, "Gradient Boosting")
 
 @query
 def compare_classic_models(spark, sf):
-    return models.compare_classic_models(*fx.train_test(spark, sf))
+    return _support(models.compare_classic_models(*fx.train_test(spark, sf)))
 
 
 @query
 def bigram_model_suite(spark, sf):
     divided = fx.payload_reviews(spark, sf)
-    return models.bigram_model_suite(splits.part(divided, "train"), splits.part(divided, "test"))
+    return _support(models.bigram_model_suite(splits.part(divided, "train"), splits.part(divided, "test")))
 
 
 @query
 def lr_on_embeddings(spark, sf):
-    """Mean word vectors of the reviews, trained on the train side, scored on the test side."""
-    lexicon = stage(fx.lexicon(spark, sf), "lexicon")
-    divided = fx.split_reviews(spark, sf, "murmur3").withColumn("words", tx.embed_clean_tokens(F.col("Review")))
-    vectors = embeddings.pretrained_doc_vectors(divided.select("doc_id", "words"), lexicon, fx.LEXICON_DIM)
+    """Three kinds of document vectors: learned on the train side, averaged from a lexicon, and encoded."""
     sentiment = labels.binary_label(F.col("Sentiment")).alias("Sentiment")
-    joined = stage(divided.select("doc_id", sentiment, "split").join(vectors, "doc_id"), "doc-vectors")
-    return models.lr_on_embeddings(splits.part(joined, "train"), splits.part(joined, "test"), "GloVe")
+    divided = stage(
+        fx.split_reviews(spark, sf).select("doc_id", "Review", sentiment, "split", tx.embed_clean_tokens(F.col("Review")).alias("words")),
+        "divided",
+    )
+    model = embeddings.fit_word2vec(splits.part(divided, "train").select("words"))
+    lexicon = stage(fx.lexicon(spark, sf), "lexicon")
+    averaged = embeddings.pretrained_doc_vectors(divided.select("doc_id", "words"), lexicon, fx.LEXICON_DIM)
+    vectors = {
+        "Word2Vec": model.transform(divided),
+        "GloVe": divided.join(averaged, "doc_id"),
+        "BERT": embeddings.batch_encode_text(divided, embeddings.hashing_encoder(16)),
+    }
+    rows = []
+    for method, table in vectors.items():
+        written = stage(table.select("doc_id", "Sentiment", "split", "features"), "doc-vectors")
+        rows.append(models.lr_on_embeddings(splits.part(written, "train"), splits.part(written, "test"), method))
+    together = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return _support(together, F.col("AUC").between(0, 1).alias("auc_in_range"))
 
 
 def _folded(spark, sf):
@@ -614,30 +663,45 @@ def _folded(spark, sf):
     return tuning.add_fold(train, ["doc_id"]), test
 
 
-def _tuned(name: str, tune: Callable, metric: str) -> None:
+def _winner_is_best(fitted) -> bool:
+    """Whether the model that was kept has the parameters with the highest mean score."""
+    best = max(range(len(fitted.avgMetrics)), key=lambda i: fitted.avgMetrics[i])
+    chosen = {p.name: v for p, v in fitted.bestModel.extractParamMap().items()}
+    return all(chosen[p.name] == v for p, v in fitted.getEstimatorParamMaps()[best].items())
+
+
+def _tuned(name: str, tune: Callable, grid: dict, metric: str) -> None:
     def run(spark, sf):
         train, test = _folded(spark, sf)
-        fitted = tune(train)
+        fitted = tune(train, grid)
         scored = models.score_models({name: fitted.bestModel}, test)
         by_label = metrics.by_label_metrics(scored, by=["Method"]).select(
             "Method", F.col("recall" if metric == "recallByLabel" else "f1").alias("TestScore")
         )
         rows = metrics.metrics_rows(scored).join(by_label, "Method", "left")
-        return rows.withColumn("CrossValidationScore", F.lit(float(max(fitted.avgMetrics))))
+        in_range = F.coalesce("TestScore", F.lit(0.0)).between(0, 1).alias("score_in_range")
+        return _support(rows, in_range).withColumn("winner_is_best", F.lit(_winner_is_best(fitted)))
 
     run.__name__ = name
     query(run)
 
 
-_tuned("cv_decision_tree", tuning.cv_decision_tree, "fMeasureByLabel")
-_tuned("cv_random_forest", tuning.cv_random_forest, "recallByLabel")
-_tuned("cv_gbt", tuning.cv_gbt, "recallByLabel")
+#: More than one candidate each, so that there is something to choose.
+TREE_GRID = tuning.DECISION_TREE_GRID | {"maxDepth": [2, 4]}
+_tuned("cv_decision_tree", tuning.cv_decision_tree, TREE_GRID, "fMeasureByLabel")
+_tuned("cv_random_forest", tuning.cv_random_forest, tuning.RANDOM_FOREST_GRID, "recallByLabel")
+_tuned("cv_gbt", tuning.cv_gbt, tuning.GBT_GRID, "recallByLabel")
 
 
 @query
 def best_params(spark, sf):
+    """The tuned parameters of the winner; whether each value is one of its candidates."""
     train, _ = _folded(spark, sf)
-    return tuning.best_params(tuning.cv_decision_tree(train), train)
+    fitted = tuning.cv_decision_tree(train, TREE_GRID)
+    allowed = [(name, str(value)) for name, values in TREE_GRID.items() for value in values]
+    candidates = spark.createDataFrame(allowed, "param string, value string")
+    found = tuning.best_params(fitted, train).filter(F.col("param").isin(*TREE_GRID))
+    return found.join(candidates, ["param", "value"]).select("param", F.lit(_winner_is_best(fitted)).alias("winner_is_best"))
 
 
 def _as_vector(*elements: Column) -> Column:
@@ -676,7 +740,7 @@ def soft_vote(spark, sf):
 @query
 def weighted_ensemble(spark, sf):
     train, test = _nonword_features(spark, sf)
-    return imbalance.weighted_ensemble(train, test)
+    return _support(imbalance.weighted_ensemble(train, test))
 
 
 def _nonword_features(spark, sf):
@@ -703,7 +767,8 @@ def best_threshold(spark, sf):
 
 @query
 def threshold_moving(spark, sf):
-    return imbalance.threshold_moving(*_nonword_features(spark, sf))
+    rows = imbalance.threshold_moving(*_nonword_features(spark, sf))
+    return _support(rows, F.col("Threshold").isin(*thresholds.threshold_grid()).alias("threshold_in_grid"))
 
 
 @query
@@ -720,9 +785,12 @@ def smote_balance(spark, sf):
 
 @query
 def smote_lr(spark, sf):
-    return imbalance.smote_lr(*_nonword_features(spark, sf))
+    return _support(imbalance.smote_lr(*_nonword_features(spark, sf)))
 
 
 @query
 def pseudo_label(spark, sf):
-    return imbalance.pseudo_label(*fx.aligned_train_test(spark, sf))
+    rows = imbalance.pseudo_label(*fx.aligned_train_test(spark, sf))
+    added = F.col("pseudo_positive") + F.col("pseudo_negative")
+    adds_up = (F.col("augmented_rows") == F.col("labeled_rows") + added).alias("adds_up")
+    return _support(rows, F.col("labeled_rows").cast("long").alias("labeled_rows"), adds_up)
