@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, difference
+from workload import oracle
+from workload.queries import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
-# Trained models are tested in test_models.py, test_tuning.py and test_imbalance.py.
-PLAIN = [name for name in QUERIES if name not in SQL and name in ("stable_split", "lr_weighted", "lr_on_embeddings")]
+SQL = oracle.statements()
+PLAIN = sorted(set(QUERIES) - set(SQL))
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,8 @@ def duck(sf):
 
 
 def test_names_match():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -31,7 +31,7 @@ EXPECTED = [
     (["end", "after", "next", "word"], ["end", "http", "after", "wwwonly", "next", "word"], ["end", "http", "x", "after", "wwwonly", "next_word", "12"],
      ["end http", "http after", "after wwwonly", "wwwonly next_word", "next_word 12"], 6),
     (["under", "score", "x", "ab", "c"], ["under", "score"], ["under_score", "x1", "ab", "c"], ["under_score x1", "x1 ab"], 4),
-    (["tail", "gap", "wide"], ["tail", "gap", "wide"], ["tail", "gap", "wide"], ["tail gap", "gap wide"], 4),
+    (["tail", "gap", "gap", "wide"], ["tail", "gap", "gap", "wide"], ["tail", "gap", "gap", "wide"], ["tail gap", "gap gap", "gap wide"], 4),
 ]
 
 
