@@ -66,3 +66,9 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Deletes what this application has staged. To be called once the results that read it are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from reviewlens.session import scratch_path, shared_folder, stage
+from reviewlens.session import clear_staged, scratch_path, shared_folder, stage
 from reviewlens.sources import readers, writers
 
 
@@ -96,3 +96,10 @@ def test_shared_folder(spark):
     staged = stage(spark.range(5).withColumn("v", F.lit(1.5)), "t")
     assert staged.schema.simpleString() == "struct<id:bigint,v:double>"
     assert folder in staged.inputFiles()[0] and staged.count() == 5
+
+
+def test_clear_staged(spark):
+    table = stage(spark.range(3), "t")
+    clear_staged(spark)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        table.collect()

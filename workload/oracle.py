@@ -539,4 +539,18 @@ def model_rows() -> dict[str, str]:
     labelled = """(SELECT count(*) FROM sided WHERE split = 'train'
         AND ('0x' || substr(md5('42|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < 0.8) AS labeled_rows"""
     sql["pseudo_label"] = _test_rows(["Learned from own labels"], "'positive'", labelled, "true AS adds_up")
+    sql["final_comparison"] = _test_rows(
+        ["Plain model", "Balanced by synthetic rows", "Weighted vote", "Moved threshold", "Learned from own labels"], "'positive'"
+    )
+    sql["baseline_flow"] = _with(
+        """SELECT 'Baseline' AS Method, count(*) FILTER (Sentiment = m) AS negatives, count(*) FILTER (Sentiment <> m) AS positives,
+        true AS accuracy_fits FROM flow, (SELECT Sentiment AS m FROM flow WHERE side < 80 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+        WHERE side >= 80""",
+        "cleaned",
+        extra={
+            "flow": """SELECT CASE WHEN Rating >= 3.0 THEN 'positive' ELSE 'negative' END AS Sentiment,
+            ('0x' || substr(md5(Review || '|' || CAST(Rating AS VARCHAR)), 1, 8))::BIGINT % 100 AS side FROM cleaned"""
+        },
+    )
+    sql["load_or_build"] = _with("SELECT Sentiment, count(*) AS n, 1 AS built FROM labelled GROUP BY Sentiment", "labelled")
     return sql

@@ -794,3 +794,52 @@ def pseudo_label(spark, sf):
     added = F.col("pseudo_positive") + F.col("pseudo_negative")
     adds_up = (F.col("augmented_rows") == F.col("labeled_rows") + added).alias("adds_up")
     return _support(rows, F.col("labeled_rows").cast("long").alias("labeled_rows"), adds_up)
+
+
+# --- whole flows ---------------------------------------------------------------------------------
+
+
+@query
+def final_comparison(spark, sf):
+    """The plain model and the four ways to deal with imbalance, side by side."""
+    train, test = _nonword_features(spark, sf)
+    plain = models.lr_unweighted().fit(train).transform(test).withColumn("Method", F.lit("Plain model"))
+    rows = [
+        metrics.metrics_rows(plain),
+        imbalance.smote_lr(train, test),
+        imbalance.weighted_ensemble(train, test),
+        imbalance.threshold_moving(train, test),
+        imbalance.pseudo_label(*fx.aligned_train_test(spark, sf)),
+    ]
+    columns = ["Method", "Accuracy", "Precision", "Recall", "F1", "TN", "FP", "FN", "TP"]
+    together = rows[0].select(columns)
+    for more in rows[1:]:
+        together = together.unionByName(more.select(columns))
+    return _support(together)
+
+
+@query
+def baseline_flow(spark, sf):
+    """From a CSV file of raw reviews to a CSV file of results, which is read back."""
+    source, target = scratch_path(spark, "raw-csv"), scratch_path(spark, "results-csv")
+    writers.write_csv(fx.raw_reviews(spark, sf).select("Review", "Rating"), source)
+    reviews = labels.label_from_rating(cleaning.clean_reviews(readers.read_reviews_csv(spark, source)))
+    divided = stage(splits.stable_split(reviews, method="md5"), "split", partition_by="split")
+    train, test, _ = models.prepare_features(splits.part(divided, "train"), splits.part(divided, "test"))
+    fitted = models.fit_all({"Baseline": models.lr_weighted()}, train)
+    writers.write_csv(metrics.metrics_rows(models.score_models(fitted, test)), target, single_file=True)
+    schema = "Method string, Accuracy double, TN long, FP long, FN long, TP long"
+    return _support(readers.read_reviews_csv(spark, target, T.StructType.fromDDL(schema)))
+
+
+@query
+def load_or_build(spark, sf):
+    """A table that is built once and read from its file the second time."""
+    path, built = scratch_path(spark, "class-counts"), []
+
+    def build():
+        built.append(1)
+        return stats.class_counts(fx.labelled(spark, sf))
+
+    readers.load_or_build(spark, path, build)
+    return readers.load_or_build(spark, path, build).withColumn("built", F.lit(len(built)))
