@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import best_fit_packing, quality_classifier
-from reviewlens.llm.exact_dedup import exact_dedup
-from reviewlens.llm.near_dedup import near_dedup
-from reviewlens.llm.source_mixing import mix_sources, mixed_rows
+from reviewlens.llm import best_fit_packing, exact_dedup, near_dedup, quality_classifier, source_mixing
+from reviewlens.llm.columns import set_aside
 from reviewlens.session import stage
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def _kept(docs: DataFrame, results: Sequence[str], judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows that ``judge`` returns, with the columns of ``docs`` as they were, even those named like results."""
+    held, back = set_aside(docs, *results)
+    return judge(held).drop(*results).withColumnsRenamed(back).select(docs.columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; it learns from the ``labels`` of documents given."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_classifier.fit(docs, labels)
-    score, predicted = "quality_score", "quality_predicted"
-    scored = quality_classifier.with_scores(docs, model, score_col=score, predicted_col=predicted)
-    return scored.filter(F.col(predicted) == 1).select(docs.columns)
+    return _kept(docs, ("score", "predicted"), lambda d: quality_classifier.with_scores(d, model).filter("predicted = 1"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
-    return exact_dedup(docs).filter("kept").select(docs.columns)
+    return _kept(docs, exact_dedup.RESULT, lambda d: exact_dedup.exact_dedup(d).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near-duplicate pairs, the one with the smallest id stays."""
-    return near_dedup(docs).filter("kept").select(docs.columns)
+    return _kept(docs, near_dedup.RESULT, lambda d: near_dedup.near_dedup(d).filter("kept"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time a document is taken; where one is taken in part, its text ends after those words."""
-    rows = mixed_rows(mix_sources(docs)).select(docs.columns)
+    rows = _kept(docs, source_mixing.RESULT, lambda d: source_mixing.mixed_rows(source_mixing.mix_sources(d)))
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -27,6 +27,13 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in drop])
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its own columns of these names renamed out of the way, and the renaming back."""
+    clash = [c for c in df.columns if c.lower() in {n.lower() for n in names}]
+    back = dict(zip(free_names(df, *(f"own_{c}" for c in clash)), clash))
+    return df.withColumnsRenamed({c: free for free, c in back.items()}), back
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z lower-cased and nothing else changed; null becomes empty.
 

@@ -72,3 +72,5 @@ def test_stages_take_edge_documents(spark, sf, make):
         assert out.count() >= 0
         if name != "packing":
             assert out.columns == docs.columns
+            for column in set(docs.columns) - {"doc_id", "text", "lang", "source", "n_chars"}:
+                assert out.filter(f"{column} != 'x' or {column} is null").count() == 0
