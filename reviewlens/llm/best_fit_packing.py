@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.columns import free_names
-from reviewlens.llm.tokens import WordEncoder, chunks
+from reviewlens.llm.tokens import chunks, encoder
 from reviewlens.session import stage
 
 LENGTH, END_ID = 4096, 1
-#: Tokens of a shard, which one task packs: about 2000 sequences.
-SHARD_TOKENS = 2**23
+#: Tokens of a shard, which one task packs: about 1000 sequences.
+SHARD_TOKENS = 2**22
 #: Steps of the local search in a shard, at most, and bins with the most room that a step starts from.
 MOVES, SOURCES = 200, 16
 
@@ -36,10 +36,10 @@ def pieces(
     ids_field = ", input_ids array<int>" if with_ids else ""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encode = encoder(tokenizer).encode
         for whole in batches:
             for batch in chunks(whole, "text"):
-                ids, counts = encoder.encode(batch.column("text"))
+                ids, counts = encode(batch.column("text"))
                 rows, starts, ends, crcs, arrays = [], [], [], [], []
                 at = 0
                 for row, count in enumerate(counts):

@@ -21,7 +21,7 @@ ROWS, WIDTH = 8192, 32
 NONZERO, WINDOW = 4, 2
 HIDDEN, STEPS, RATE, DECAY = 16, 400, 0.03, 1e-4
 #: Distinct words whose vocabulary rows a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
@@ -189,6 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             pooled = _pooled(batch["text"], shared.value, memory)
             if len(batch):
                 yield pd.DataFrame({"fold": batch["fold"], "label": batch["label"], "pooled": list(pooled)})
+        memory.clear()
 
     rows = (
         sample.withColumn("fold", fold("id").cast("int"))
@@ -212,15 +213,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(vectors, mean, scale, layers, _temperature(_forward(layers, x[check])[1], y[check]), 0.5)
 
 
-def with_scores(
-    docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7, score_col: str = "score", predicted_col: str = "predicted"
-) -> DataFrame:
+def with_scores(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on) from the whole text alone.
 
     A null or empty text has a score too, that of a document without words. Columns of the same names are
     replaced. An empty table gives an empty result.
     """
-    docs = without(docs, score_col, predicted_col)
+    docs = without(docs, "score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -228,6 +227,7 @@ def with_scores(
         memory: dict = {}
         for texts in batches:
             yield pd.Series(shared.value.scores(_pooled(texts, shared.value.vectors, memory)))
+        memory.clear()  # a worker runs many tasks, and may hold on to their frames
 
-    scored = docs.withColumn(score_col, score(F.col(text_col).cast("string")))
-    return scored.withColumn(predicted_col, (F.col(score_col) >= threshold).cast("int"))
+    scored = docs.withColumn("score", score(F.col(text_col).cast("string")))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
