@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.columns import free_names
@@ -37,18 +37,27 @@ def placements(distance: int) -> list[tuple[int, int, int]]:
     return own + [p for p in found if p not in own]
 
 
-def segment_keys(line: Column, distance: int) -> Column:
-    """An array of (``key``, ``own``): hashes of segment number, length of the line that has it, and content."""
+def segment_keys(lines: DataFrame, distance: int) -> DataFrame:
+    """``line_id``, ``bucket`` and ``own`` for each placement in each line.
+
+    A bucket is a hash of segment number, length of the line that has it, and content; ``own`` is 1 for the
+    line's segments. Lengths are columns of their own, so that no line is measured again for each placement.
+    """
     parts = distance + 1
+    measured = lines.select("line_id", "line", F.length("line").alias("chars"))
+    sizes = []
+    for short in range(parts):
+        length = F.col("chars") - short
+        sizes += [F.floor(length / parts).cast("int").alias(f"size{short}"), (parts - length % parts).alias(f"longer{short}")]
+    measured = measured.select("*", *sizes)
     structs = []
     for short, i, shift in placements(distance):
-        length = F.length(line) - short
-        longer = parts - length % parts  # segments from this one on have one character more
-        start = i * F.floor(length / parts) + F.greatest(i - longer, F.lit(0))
-        size = F.floor(length / parts) + F.when(longer <= i, 1).otherwise(0)
-        content = F.substring(line, (start + shift + 1).cast("int"), size.cast("int"))
-        structs.append(F.struct(F.xxhash64(F.lit(i), length, content).alias("key"), F.lit(int((short, shift) == (0, 0))).alias("own")))
-    return F.array(structs)
+        base, longer = F.col(f"size{short}"), F.col(f"longer{short}")  # segments from ``longer`` on have one character more
+        start = base * i + F.greatest(i - longer, F.lit(0)) + (shift + 1)
+        content = F.substring(F.col("line"), start, base + F.when(longer <= i, 1).otherwise(0))
+        bucket = F.xxhash64(F.lit(i), F.col("chars") - short, content)
+        structs.append(F.struct(bucket.alias("bucket"), F.lit(int((short, shift) == (0, 0))).cast("byte").alias("own")))
+    return measured.select("line_id", F.inline(F.array(structs)))
 
 
 def within(first: str, second: str, distance: int) -> bool:
@@ -179,9 +188,7 @@ def line_classes(
 
 
 def _line_links(lines: DataFrame, distance: int) -> DataFrame:
-    keys = lines.select("line_id", F.explode(segment_keys(F.col("line"), distance)).alias("at")).select(
-        "line_id", F.col("at.key").alias("bucket"), F.col("at.own").alias("own")
-    )
+    keys = stage(segment_keys(lines, distance), "keys")
     buckets = stage(
         keys.groupBy("bucket")
         .agg(F.min("line_id").alias("low"), F.max("line_id").alias("high"), F.max("own").alias("own"))
