@@ -14,6 +14,9 @@ from reviewlens.session import stage
 #: Characters in a row, of those that keys are made of, that make a word a candidate.
 LEAST = 16
 KEY_CHARS = "A-Za-z0-9/+_-"
+#: Signs between a name and its value, signs that end what a name stands for, and the end of a word that assigns.
+MARKS, CLOSERS = "=:\"'`", r",;&?{}()<>\[\]"
+ASSIGNS = "[=:][\"'`]*\\z"
 #: Labelled findings that the forest learns from at most: those with the smallest hashes.
 SAMPLE_ROWS, TREES, DEPTH = 20_000, 20, 5
 #: Words of the dictionary: those in most documents, of DICTIONARY_CHARS letters or more.
@@ -43,10 +46,11 @@ def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
 
 
 def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """One row per candidate: the id, ``word_no``, ``value``, its ``name`` and neighbours, and ``FEATURES``.
+    """One row per candidate: the id, ``word_no``, ``part_no``, ``value``, its ``name`` and neighbours, and ``FEATURES``.
 
-    A candidate is a word with at least ``LEAST`` key characters in a row; ``value`` is the longest such start.
-    ``name`` is what stands before it in the same word, up to ``=``, ``:`` or a quote.
+    Signs that separate (quotes, brackets, ``=``, ``:``, ``,``, ``;``, ``&``) part a word. Candidates are all runs of
+    ``LEAST`` key characters or more in every part, and the whole part, however short, where it is assigned to a
+    credential's name. ``name`` is the part before, unless a comma, bracket or the like stands between.
     """
     rows = docs.select(
         F.col(id_col),
@@ -54,18 +58,51 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_c
         (F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")).alias("path"),
     )
     fits = F.lit(f"[{KEY_CHARS}]{{{LEAST},}}")
-    numbers = F.transform("words", lambda w, i: F.when((F.length(w) >= LEAST) & F.rlike(w, fits), i))
-    found = rows.withColumn("word_no", F.explode(F.array_compact(numbers)))
 
-    def word(offset: int) -> Column:
-        at = F.col("word_no") + offset
+    def near(at: Column) -> Column:
         return F.when(at >= 0, F.coalesce(F.get("words", at), F.lit(""))).otherwise("")
 
-    near = found.select(
-        id_col, "path", "word_no", word(0).alias("word"), word(-1).alias("before"), word(-2).alias("before_that"), word(1).alias("after")
+    def value_next(before: Column, before_that: Column) -> Column:
+        """Whether a credential's name and the sign of an assignment stand before a word."""
+        return F.rlike(before, F.lit(ASSIGNS)) & (
+            F.rlike(before, F.lit(CREDENTIAL)) | (F.rlike(before, F.lit(rf"\A[{MARKS}]+\z")) & F.rlike(before_that, F.lit(CREDENTIAL)))
+        )
+
+    def holds(w: Column, i: Column) -> Column:
+        long = (F.length(w) >= LEAST) & F.rlike(w, fits)
+        own = F.rlike(w, F.lit("[=:]")) & F.rlike(w, F.lit(CREDENTIAL))
+        return F.when(long | own | value_next(near(i - 1), near(i - 2)), i)
+
+    found = rows.withColumn("word_no", F.explode(F.array_compact(F.transform("words", holds))))
+    at = F.col("word_no")
+    words_near = found.select(
+        id_col, "path", "word_no", near(at).alias("word"), near(at - 1).alias("before"), near(at - 2).alias("before_that"), near(at + 1).alias("after")
     )
-    split = near.withColumn("value", F.regexp_extract("word", f"([{KEY_CHARS}]{{{LEAST},}})", 1)).withColumn(
-        "name", F.regexp_extract("word", r"\A(.*?)[=:\"'`]+", 1)
+    cut = F.lit(f"([^{MARKS}{CLOSERS}]*)([{MARKS}{CLOSERS}]*)")
+    parted = words_near.withColumn("texts", F.regexp_extract_all("word", cut, F.lit(1))).withColumn("signs", F.regexp_extract_all("word", cut, F.lit(2)))
+
+    def values(text: Column, i: Column) -> Column:
+        sign = F.when(i > 0, F.get("signs", i - 1)).otherwise("")
+        bound = ~F.rlike(sign, F.lit(f"[{CLOSERS}]"))
+        name = F.when((i > 0) & bound, F.get("texts", i - 1)).otherwise("")
+        first = (i == 0) | ((i == 1) & (F.get("texts", i - 1) == ""))
+        assigned = (bound & F.rlike(sign, F.lit("[=:]"))) | (first & F.rlike("before", F.lit(ASSIGNS)))
+        given = (bound & F.rlike(sign, F.lit("[=:]")) & F.rlike(name, F.lit(CREDENTIAL))) | (first & value_next(F.col("before"), F.col("before_that")))
+        runs = F.regexp_extract_all(text, fits, F.lit(0))
+        whole = F.regexp_replace(text, r"\.+\z", "")
+        more = F.when(given & (whole != "") & ~F.array_contains(runs, whole), F.array(whole)).otherwise(F.array().cast("array<string>"))
+        quoted = F.rlike(F.concat(sign, F.get("signs", i)), F.lit("[\"'`]"))
+        return F.transform(
+            F.concat(runs, more),
+            lambda value: F.struct(
+                i.alias("part_no"), value.alias("value"), name.alias("name"), first.alias("first"), assigned.alias("is_assigned"),
+                given.alias("given"), quoted.alias("is_quoted"),
+            ),
+        )
+
+    each = F.explode(F.flatten(F.transform("texts", values))).alias("candidate")
+    split = parted.select(id_col, "path", "word_no", "word", "before", "before_that", "after", each).select(
+        id_col, "path", "word_no", "word", "before", "before_that", "after", "candidate.*"
     )
     length = F.length("value")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[0-9]", "0"), "[A-Z]", "A"), "[aeiou]", "e"), "[b-df-hj-np-tv-z]", "c")
@@ -85,9 +122,9 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_c
         "slashes": share("[/_-]"),
         "example_path": F.rlike("path", F.lit(EXAMPLE)) | F.rlike("before", F.lit(EXAMPLE)),
         "named": F.rlike("name", F.lit(CREDENTIAL)),
-        "named_before": F.rlike(F.concat("before_that", F.lit(" "), "before"), F.lit(CREDENTIAL)),
-        "quoted": F.rlike("word", F.lit("[\"'`]")),
-        "assigned": F.rlike("word", F.lit("[=:]")) | F.rlike("before", F.lit(r"[=:]\z")),
+        "named_before": (F.col("first") | (F.col("name") == "")) & F.rlike(F.concat("before_that", F.lit(" "), "before"), F.lit(CREDENTIAL)),
+        "quoted": F.col("is_quoted"),
+        "assigned": F.col("is_assigned"),
     }
     return split.withColumns({k: v.cast("double") for k, v in features.items()})
 
@@ -124,11 +161,13 @@ def known_findings(found: DataFrame) -> DataFrame:
     """Candidates whose nature is beyond doubt, with ``label``: what a reviewer would have marked.
 
     Secrets are keys of a known issuer and hexadecimal or mixed values given to a credential's name. No
-    secrets are words of letters in one case, numbers, and the names of examples.
+    secrets are words of letters in one case and numbers, but for those given to a credential's name, of which
+    only frequent words are.
     """
     mixed = F.rlike("value", F.lit("[0-9]")) & F.rlike("value", F.lit("[A-Za-z]"))
     positive = F.rlike("value", F.lit(ISSUED)) | (((F.col("named") == 1) | (F.col("named_before") == 1)) & (F.col("assigned") == 1) & mixed)
     negative = F.rlike("value", F.lit(r"\A[A-Z]?[a-z/+_-]+\z")) | F.rlike("value", F.lit(r"\A[A-Z/+_-]+\z")) | F.rlike("value", F.lit(r"\A[0-9/+_-]+\z"))
+    negative = negative & (~F.col("given") | (F.col("coverage") == 1))
     return found.withColumn("label", F.when(positive, 1).when(negative, 0)).filter("label is not null")
 
 
@@ -137,7 +176,7 @@ def secret_scan(
 ) -> DataFrame:
     """Findings in all whole texts: the id, ``word_no`` (from 0), ``value``, ``score`` and ``secret``.
 
-    Candidates come from one pattern; a random forest on their length, shares of characters, changes between
+    Candidates are all runs of key characters, and shorter values of credentials' names; a random forest on their length, shares of characters, changes between
     kinds of characters, coverage by frequent words, path, name and neighbouring words removes false positives.
     ``labelled`` holds candidates (with features) and ``label``; without it, those beyond doubt in ``docs`` are
     the labelled findings. Rows of candidates are all returned; ``secret`` tells which pass.
