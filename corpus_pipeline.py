@@ -39,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time a document is taken; where one is taken in part, its text ends after those words."""
+    """A row for each time a document is taken; documents are whole."""
     rows = _kept(docs, source_mixing.RESULT, lambda d: source_mixing.mixed_rows(source_mixing.mix_sources(d)))
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 

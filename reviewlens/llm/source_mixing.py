@@ -14,6 +14,8 @@ from reviewlens.session import stage
 SHARDS = 256
 #: Blocks in the target of the smallest source, at least: how fine the apportionment is.
 FINENESS = 256
+#: Documents that fill what the first ones of a source leave missing, at most.
+FILLS = 3
 RESULT = ("size", "source_size", "target", "taken")
 _SPACE = r"\x20\x09-\x0D"
 
@@ -80,11 +82,13 @@ def mix_sources(
     """``docs`` with ``size`` (words), ``source_size``, ``target`` (of the source) and ``taken`` (words).
 
     Targets come from ``targets``. All targets are cut into equal blocks, so small that the least positive
-    target has ``FINENESS``; ``apportion`` gives each source whole blocks by highest quotients. A seeded hash
-    deals a source's documents to shards and orders them there; a shard's quota is its share of the source's
-    blocks, in whole words. Within a shard, blocks are taken from the front of that order, beginning again
-    for repeats, so that ``taken`` is a multiple of ``size`` but for one document per shard. No document
-    exceeds ``most`` times its size, and reruns agree.
+    target has ``FINENESS``; ``apportion`` gives each source whole blocks by highest quotients. Only whole
+    documents are taken, so ``taken`` is a multiple of ``size``: all of a source as often as its words allow, and
+    of the rest those that come first in a seeded order and fit into it. What is then missing is filled with the
+    later document whose size is nearest to it, ``FILLS`` times or until none comes nearer; a source misses its
+    blocks by less than one document. No document exceeds ``most`` times its size, and reruns agree.
+
+    Documents are dealt by the hash to shards, in which their running sums are made; sums of shards are small.
 
     Null text has no words; a null source is a source, the last one. Rows that repeat an id follow one another
     and are taken like other rows. Columns of the same names are replaced. An empty table gives an empty result.
@@ -104,14 +108,16 @@ def mix_sources(
     quotas = apportion(sources, block, round((whole or 0.0) / block))
     quotas = quotas.withColumn("words", F.least(F.col("seats") * block, F.col("cap")))
     line = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    # Rounding the running sum gives every shard whole words, and the source the sum of them.
-    upto = F.floor(F.col("words") * (F.sum("cell_size").over(line) / F.col("source_size")))
-    before = F.floor(F.col("words") * ((F.sum("cell_size").over(line) - F.col("cell_size")) / F.col("source_size")))
+    most_words = F.col("source_size") * int(most)
+    words = F.least(F.floor("words").cast("long"), most_words)
+    times = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0).cast("long")
     dealt = stage(
         cells.withColumnRenamed("source", "of")
         .join(quotas, F.col("of").eqNullSafe(F.col("source")))
-        .withColumn("quota", F.when(F.col("source_size") > 0, F.least(upto - before, F.col("cell_size") * int(most))).otherwise(0).cast("long"))
-        .select("source", "shard", "cell_size", "source_size", "target", "quota"),
+        .withColumn("ahead", F.sum("cell_size").over(line) - F.col("cell_size"))
+        .withColumn("times", times)
+        .withColumn("rest", words - F.col("times") * F.col("source_size"))
+        .select("source", "shard", "source_size", "target", "ahead", "times", "rest"),
         "quotas",
     )
     quotas = dealt.toDF(*free_names(sized, *(f"cell_{c}" for c in dealt.columns)))
@@ -119,28 +125,52 @@ def mix_sources(
 
 
 def _take(sized, quotas, columns, source_col, shard, order, start, id_col) -> DataFrame:
-    q_source, q_shard, q_cell, q_source_size, q_target, q_quota = quotas.columns
+    q_source, q_shard, q_source_size, q_target, q_ahead, q_times, q_rest = quotas.columns
     line = Window.partitionBy(source_col, shard).orderBy(order, id_col, "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = sized.withColumn(start, F.sum("size").over(line) - F.col("size"))
     same = F.col(source_col).eqNullSafe(F.col(q_source)) & (F.col(shard) == F.col(q_shard))
-    cell = F.greatest(F.col(q_cell), F.lit(1))
-    times = F.floor(F.col(q_quota) / cell)
-    rest = F.col(q_quota) - times * F.col(q_cell)
-    once = F.greatest(F.least(rest - F.col(start), F.col("size")), F.lit(0))
-    return placed.join(quotas, same).select(
-        *columns,
+    # From here on, ``start`` is the place in the whole source, which only one of its documents with words has.
+    placed = placed.join(quotas, same).withColumn(start, F.col(start) + F.col(q_ahead))
+
+    slim = placed.select(F.col(q_source).alias("source"), F.col(start).alias("start"), "size", F.col(q_rest).alias("rest"))
+    places = stage(slim.filter("size > 0 and rest > 0"), "places")
+    gaps = stage(
+        places.groupBy("source").agg(
+            (F.first("rest") - F.coalesce(F.sum(F.when(F.expr("start + size <= rest"), F.col("size"))), F.lit(0))).alias("gap"),
+        ).withColumn("fills", F.expr("cast(array() as array<bigint>)")),
+        "gaps",
+    )
+    for _ in range(FILLS):
+        gaps = stage(_filled(gaps, places), "gaps")
+    of, gap, fills = free_names(placed, "of", "gap", "fills")
+    chosen = placed.join(gaps.toDF(of, gap, fills), F.col(q_source).eqNullSafe(F.col(of)), "left")
+    once = (F.col("size") > 0) & ((F.col(start) + F.col("size") <= F.col(q_rest)) | F.coalesce(F.array_contains(fills, F.col(start)), F.lit(False)))
+    return chosen.select(
+        *(F.col(f"`{c}`") for c in columns),
         "size",
         F.col(q_source_size).alias("source_size"),
         F.col(q_target).alias("target"),
-        (times * F.col("size") + once).cast("long").alias("taken"),
+        ((F.col(q_times) + F.when(once, 1).otherwise(0)) * F.col("size")).cast("long").alias("taken"),
+    )
+
+
+def _filled(gaps: DataFrame, places: DataFrame) -> DataFrame:
+    """``gaps`` (source, gap, ``fills``: starts of documents taken for it) with the document that comes nearest to each."""
+    left = places.filter("start + size > rest").join(gaps.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    open_ = left.filter("abs(size - gap) < abs(gap)").filter(~F.array_contains("fills", F.col("start")))
+    best = open_.groupBy(F.col("source").alias("of")).agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("miss"), "start", "size")).alias("best"))
+    return gaps.join(best, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        "source",
+        (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
+        F.when(F.col("best").isNull(), F.col("fills")).otherwise(F.array_append("fills", F.col("best.start"))).alias("fills"),
     )
 
 
 def mixed_rows(mixed: DataFrame, text_col: str = "text") -> DataFrame:
     """The mixture itself: a row for each time a document is taken, without the columns of ``mix_sources``.
 
-    A document is repeated ``taken / size`` times; of what is left over, one row has the first words of the
-    text, with their white space. Documents of which nothing is taken have no row.
+    A document is repeated ``taken / size`` times, which is whole for rows of ``mix_sources``; of what is left
+    over in others, one row has the first words of the text, with their white space. Documents of which nothing is taken have no row.
     """
     (copy,) = free_names(mixed, "copy")
     size = F.greatest(F.col("size"), F.lit(1))

@@ -168,6 +168,17 @@ def test_mixture_meets_its_targets(spark):
     assert taken.columns == docs.columns
 
 
+def test_mixture_takes_whole_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for weights, share in (((3, 1, 2), 1.5), ((1, 5), 0.4)):
+        mixed = mixing.mix_sources(docs, weights, share).cache()
+        assert mixed.filter("size > 0 and taken % size != 0").count() == 0
+        largest = mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("size"))
+        assert largest.filter("abs(taken - target) > size").count() == 0
+        texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+        assert all(texts[i] == t for i, t in rows(mixing.mixed_rows(mixed), "doc_id", "text"))
+
+
 def test_mixing_edges(spark):
     docs = clashing_documents(spark)
     mixed = mixing.mix_sources(docs)
