@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,8 @@ from reviewlens.session import stage
 LENGTH, END_ID = 4096, 1
 #: Tokens of a shard, which one task packs: about 1000 sequences.
 SHARD_TOKENS = 2**22
-#: Steps of the local search in a shard, at most, and bins with the most room that a step starts from.
-MOVES, SOURCES = 200, 16
+#: Steps of the local search in a shard, at most; None: until no step is left.
+MOVES = None
 
 
 def pieces(
@@ -115,68 +116,97 @@ class Bins:
                 self.place(b, self.size)
             self.change(b, [], [(self.lengths[document], document)])
 
-    def improve(self, moves: int) -> None:
+    def improve(self, moves: int | None = None) -> None:
         """Empties bins by steps between underfull bins that increase the sum of squared fills.
 
         A step moves a document from one bin to a fuller one, or exchanges one for a shorter one, one for two
         that are shorter together, or two for one that is shorter than both together, where the fuller bin has
         room for the difference. Room gathers in ever fewer bins until these are empty. The search ends when no
-        bin can be spared, no step is left, or ``moves`` are made.
+        bin can be spared, no step is left from any underfull bin, or ``moves`` are made; as the sum rises with
+        every step, it does end.
         """
         least = -(-sum(self.lengths) // self.size)
         used = sum(bool(m) for m in self.members)
-        while moves > 0 and used > least:
-            underfull = [b for r in range(self.size - 1, 0, -1) for b in sorted(self.by_room[r])]
-            source = next((b for b in underfull[:SOURCES] if self._step(b)), None)
+        if used <= least:
+            return
+        n = len(self.members)
+        self.rooms = np.zeros(n, np.int64)  # of underfull bins, 0 for others
+        self.stuck = np.zeros(n, bool)  # bins that no step is left from
+        # For one document (0) and two (1): the lengths a bin holds, and whether it takes each length for others.
+        self.wanted = [np.zeros((n, 1), np.int32) for _ in range(2)]
+        self.offers = [np.zeros((n, self.size + 1), bool) for _ in range(2)]
+        for b in np.flatnonzero([bool(r) for r in self.room]):
+            self._index(b)
+        while used > least and (moves is None or moves > 0):
+            source = self._step()
             if source is None:
                 break
             used -= not self.members[source]
-            moves -= 1
-
-    def _step(self, source: int) -> bool:
-        """One step from ``source`` to a bin that is as full or fuller; whether there was one."""
-        docs = self.members[source]
-        room = self.room[source]
-        for item in reversed(docs):
-            b = self._tightest_other(item[0], source)
-            if b is not None and self.room[b] <= room:
-                self._swap(source, b, [item], [])
-                return True
-        others = [b for r in range(room, 0, -1) for b in sorted(self.by_room[r]) if b != source]
-        bundles = [[x] for x in reversed(docs)] + [[x, y] for i, x in enumerate(docs) for y in docs[:i]]
-        for b in others:
-            theirs = self.members[b]
-            for mine in bundles:
-                total = sum(n for n, _ in mine)
-                low, high = total - self.room[b], total - 1
-                i = bisect_left(theirs, (max(low, 1), -1))
-                if i < len(theirs) and theirs[i][0] <= high:
-                    self._swap(source, b, mine, [theirs[i]])
-                    return True
-                if len(mine) == 1:
-                    for j, y in enumerate(theirs):
-                        k = bisect_left(theirs, (low - y[0], -1), j + 1)
-                        if k < len(theirs) and theirs[k][0] + y[0] <= high:
-                            self._swap(source, b, mine, [y, theirs[k]])
-                            return True
-        return False
-
-    def _tightest_other(self, length: int, source: int) -> int | None:
-        fits = self.mask >> length
-        while fits:
-            room = length + (fits & -fits).bit_length() - 1
-            found = min((b for b in self.by_room[room] if b != source), default=None)
-            if found is not None:
-                return found
-            fits &= fits - 1
-        return None
+            moves = None if moves is None else moves - 1
+
+    def _index(self, b: int) -> None:
+        """Files the lengths that bin ``b`` holds and takes, as its members and room are now."""
+        room = self.room[b] or 0
+        self.rooms[b] = room
+        sizes = [n for n, _ in self.members[b]] if room else []
+        ones = np.unique(np.array(sizes, np.int64))
+        i, j = np.triu_indices(len(ones), 1)
+        twice = [2 * n for n, after in zip(sizes, sizes[1:]) if n == after]
+        twos = np.unique(np.concatenate([ones[i] + ones[j], np.array(twice, np.int64)]))
+        for kind, values in enumerate((ones, twos)):
+            wide = max(0, len(values) - self.wanted[kind].shape[1])
+            if wide:
+                self.wanted[kind] = np.pad(self.wanted[kind], ((0, 0), (0, wide)))
+            self.wanted[kind][b] = 0  # a length that no bin takes
+            self.wanted[kind][b, : len(values)] = values
+        for kind, given in enumerate((np.concatenate([[0], ones, twos]), ones)):
+            ends = np.zeros(self.size + 2, np.int32)
+            np.add.at(ends, given + 1, 1)
+            np.add.at(ends, np.minimum(given + room, self.size) + 1, -1)
+            self.offers[kind][b] = (np.cumsum(ends[:-1]) > 0) if room else False
+
+    def _step(self) -> int | None:
+        """One step, from the emptiest bin that has one to the emptiest that is as full or fuller; the first bin."""
+        while True:
+            source = int(np.argmax(np.where(self.stuck, 0, self.rooms)))
+            if not self.rooms[source] or self.stuck[source]:
+                return None
+            fits = (self.rooms > 0) & (self.rooms <= self.rooms[source])
+            fits[source] = False
+            for kind in range(2):
+                wanted = self.wanted[kind][source]
+                found = np.flatnonzero(fits & self.offers[kind][:, wanted].any(1))
+                if len(found):
+                    b = int(found[np.argmax(self.rooms[found])])
+                    self._exchange(source, b, kind, int(wanted[self.offers[kind][b, wanted]].max()))
+                    return source
+            self.stuck[source] = True
+
+    def _exchange(self, source: int, b: int, kind: int, total: int) -> None:
+        """Gives bin ``b`` documents of ``total`` tokens, one or (``kind`` 1) two, for what it offers for them."""
+        docs, theirs = self.members[source], self.members[b]
+
+        def pairs(items: list) -> Iterator[list]:
+            return ([x, y] for i, x in enumerate(items) for y in items[:i])
+
+        mine = next(m for m in ([[x] for x in docs] if kind == 0 else pairs(docs)) if sum(n for n, _ in m) == total)
+        backs = [[x] for x in theirs] if kind else chain([[]], ([x] for x in theirs), pairs(theirs))
+        back = next(k for k in backs if 0 < total - sum(n for n, _ in k) <= self.room[b])
+        self._swap(source, b, mine, back)
+        for changed in (source, b):
+            self._index(changed)
+            self.stuck[changed] = False
+        for changed in (source, b):
+            for kind in range(2):
+                freed = self.offers[kind][changed][self.wanted[kind]].any(1)
+                self.stuck &= ~(freed & (self.rooms >= self.rooms[changed]))
 
     def _swap(self, source: int, b: int, mine: list, theirs: list) -> None:
         self.change(b, theirs, mine)
         self.change(source, mine, theirs)
 
 
-def pack_lengths(lengths: list[int], room: int = LENGTH, moves: int = MOVES) -> list[list[int]]:
+def pack_lengths(lengths: list[int], room: int = LENGTH, moves: int | None = MOVES) -> list[list[int]]:
     """Documents of each bin; every document is in one bin, and no bin holds more than ``room``."""
     bins = Bins(lengths, room)
     bins.fill_best_fit()

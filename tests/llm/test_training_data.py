@@ -114,6 +114,32 @@ def test_local_search_empties_bins():
     assert spared > 0
 
 
+def plain_step(bins, room):
+    """Whether a step that increases the sum of squared fills is left between two bins of lengths."""
+    for a in bins:
+        for b in bins:
+            free = room - sum(b)
+            if a is b or not free or sum(a) > sum(b):
+                continue
+            pairs = [b[i] + b[j] for i in range(len(b)) for j in range(i)]
+            singles = [(x, y) for x in a for y in [0, *b, *pairs]]
+            twos = [(a[i] + a[j], y) for i in range(len(a)) for j in range(i) for y in b]
+            if any(0 < x - y <= free for x, y in singles + twos):
+                return True
+    return False
+
+
+def test_local_search_runs_to_its_end():
+    pick = random.Random(5)
+    for n, low, high in ((600, 900, 1600), (60, 300, 2500), (40, 1200, 1500)):
+        lengths = [pick.randint(low, high) for _ in range(n)]
+        found = packing.pack_lengths(lengths)
+        assert sorted(d for b in found for d in b) == list(range(n))
+        bins = [[lengths[d] for d in b] for b in found]
+        assert all(sum(b) <= 4096 for b in bins)
+        assert len(bins) == -(-sum(lengths) // 4096) or not plain_step(bins, 4096)
+
+
 # Mixing
 
 
