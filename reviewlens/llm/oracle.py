@@ -119,3 +119,59 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        coalesce(sum(upto) FILTER (role = 'assistant' OR k = n), 0)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+SQL["op11_prefix_trie"] = """
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL
+), crc(c, s, i, v) AS (
+  SELECT c, c::VARCHAR, 1, 4294967295::BIGINT FROM ids
+  UNION ALL
+  SELECT c, s, i + 1, list_reduce([xor(v, ascii(s[i])::BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))
+  FROM crc WHERE i <= length(s)
+), m AS (SELECT c, c - c % 5 AS leader, xor(v, 4294967295) % 9 AS h FROM crc WHERE i > length(s)
+), t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS pos FROM t
+), r AS (
+  SELECT m.c, 0 AS part, pos, role, text FROM m JOIN o ON o.c = m.leader AND pos <= h
+  UNION ALL SELECT m.c, 1, pos, role, text FROM m JOIN o ON o.c = m.c AND pos > h
+), seq AS (
+  SELECT m.c, coalesce(l, []) AS l
+  FROM m LEFT JOIN (SELECT c, list({'role': role, 'text': text} ORDER BY part, pos) AS l FROM r GROUP BY c) USING (c)
+), p AS (SELECT c, len(l) AS n, unnest(range(0, len(l) + 1)) AS d, l FROM seq
+), n AS (
+  SELECT d, l[1:d] AS p, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+  FROM p GROUP BY d, l[1:d]
+), v AS (SELECT *, (n_convs - 1) * coalesce(strlen(p[d].text), 0) AS value, p[1:d - 1] AS up FROM n
+), k AS (SELECT d - 1 AS d, up AS p, count(*) AS n_children FROM v WHERE d > 0 GROUP BY ALL
+), w AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN k USING (d, p)
+), sub AS (
+  SELECT a.d, a.p, count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.value)::BIGINT AS saved_tokens
+  FROM w a JOIN w b ON b.d >= a.d AND b.p[1:a.d] = a.p GROUP BY a.d, a.p
+)
+SELECT w.conv_id, w.d::BIGINT AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM w JOIN sub USING (d, p) LEFT JOIN w u ON w.d > 0 AND u.d = w.d - 1 AND u.p = w.up
+"""
+
+_ITEM_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+SQL["op13_benchmark_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '{_ITEM_WORD}') AS w FROM documents
+), i AS (SELECT item_id, regexp_extract_all({LOWER}, '{_ITEM_WORD}') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT r, size, s, array_to_string(w[s:s + size - 1], ' ') AS g
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, (SELECT DISTINCT size FROM iw) WHERE len(w) >= size)
+), hit AS (SELECT DISTINCT r, s, size, g FROM dw SEMI JOIN iw USING (size, g)
+), n AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(s, s + size)) AS pos FROM hit) GROUP BY r
+), q AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit JOIN iw USING (size, g) WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN q USING (r)
+"""

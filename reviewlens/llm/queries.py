@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import best_fit_packing, chat_format, quality_classifier
+from reviewlens.llm import best_fit_packing, chat_format, prefix_trie, quality_classifier
+from reviewlens.llm.decontamination import contamination
 from reviewlens.llm.exact_dedup import exact_dedup
 from reviewlens.llm.line_dedup import line_classes
 from reviewlens.llm.near_dedup import near_classes
@@ -16,6 +17,7 @@ from reviewlens.llm.quality_rules import BASE, quality_rules
 from reviewlens.llm.secret_scan import secret_scan
 from reviewlens.llm.source_mixing import mix_sources
 from reviewlens.llm.url_filter import Rule, url_filter
+from reviewlens.llm.whitening import finite_vectors, whiten
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -94,6 +96,52 @@ def op9_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat_format.read_back(chat_format.prefix_examples(turns.unionByName(probe)))
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns, ids = prefix_trie.rebuilt_conversations(prefix_trie.ordered_turns(table(spark, sf, "conversations")))
+    nodes, ends = prefix_trie.prefix_trie(turns, ids)
+    digests = prefix_trie.end_digests(ends)
+    return nodes.join(digests, list(prefix_trie.KEY), "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries as whole numbers, those beyond 2^62 held there; a row for each of the first 16 components."""
+    sound = table(spark, sf, "embeddings").filter(finite_vectors(F.col("embedding")))
+    bound = F.lit(2.0**62)
+    x = F.transform("embedding", lambda c: F.floor(F.greatest(F.least(c.cast("double") * 64, bound), -bound)) + 1000000)
+    white, model, error = whiten(sound.select("vec_id", x.alias("vector")))
+    shares = F.array(*(F.lit(float(e / model.trace)) for e in model.eigenvalues[:16])).cast("array<double>")
+    return white.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("place")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -105,4 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_chat_format": op9_chat_format,
     "op10_near_dedup": op10_near_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }

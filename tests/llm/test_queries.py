@@ -14,7 +14,7 @@ def duck(sf):
 
 
 def test_one_query_per_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
