@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model, PipelineModel
@@ -77,6 +78,12 @@ def bigram_models(rows: int) -> dict[str, Estimator]:
     }
 
 
+def root_split(tree: Model) -> tuple[int, float] | None:
+    """Feature and threshold of a fitted tree's first split; None for a single leaf."""
+    found = re.search(r"If \(feature (\d+) <= ([-+.\dEe]+)\)", tree.toDebugString)
+    return (int(found[1]), float(found[2])) if found else None
+
+
 def prepare_features(
     train: DataFrame,
     test: DataFrame,

@@ -3,7 +3,10 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from reviewlens.functions.vectors import margin_to_probability, positive_probability
@@ -88,17 +91,52 @@ def test_boosted_probability_formulas(small):
 
 
 def test_cross_validation_takes_the_best(small):
-    folded = tuning.add_fold(small, ["doc_id"], 3).persist()
-    assert {r["fold"] for r in folded.select("fold").distinct().collect()} == {0, 1, 2}
+    folded = tuning.stratified_fold(small, ["doc_id"], folds=3).persist()
     tree = DecisionTreeClassifier(weightCol="classWeight", seed=42)
     grid = {"maxDepth": [1, 4], "minInstancesPerNode": [1, 20]}
-    fitted = tuning.cross_validate(tree, grid, tuning.label_evaluator("fMeasureByLabel"), folded, folds=3)
-    scores = tuning.cv_scores(fitted, small).collect()
-    best = max(scores, key=lambda r: r["score"])
-    params = {r["param"]: r["value"] for r in tuning.best_params(fitted, small).collect()}
-    assert len(scores) == 4 and all(f"{n}={params[n]}" in best["params"] for n in grid)
-    again = tuning.cross_validate(tree, grid, tuning.label_evaluator("fMeasureByLabel"), folded.repartition(5), folds=3)
-    assert np.allclose(fitted.avgMetrics, again.avgMetrics)
+    tuned = tuning.cross_validate(tree, grid, tuning.class_score("f1"), folded, folds=3)
+    scores = tuned.scores.collect()
+    best = max(scores, key=lambda r: (r["score"], -r["candidate"]))
+    assert len(scores) == 4 and [r["candidate"] for r in scores if r["best"]] == [best["candidate"]]
+    params = {r["param"]: r["value"] for r in tuning.best_params(tuned).filter("tuned").collect()}
+    assert set(params) == set(grid) and all(f"{n}={params[n]}" in best["params"] for n in grid)
+    again = tuning.cross_validate(tree, grid, tuning.class_score("f1"), folded.repartition(5), folds=3)
+    assert np.allclose([r["score"] for r in scores], [r["score"] for r in again.scores.collect()])
+    with pytest.raises(ValueError):
+        tuning.cross_validate(tree, grid, tuning.class_score("f1"), folded, folds=4)
+
+
+def test_scores_are_those_of_the_evaluator(small):
+    """Spark ML's cross-validation over the same folds gives the same means."""
+    folded = tuning.stratified_fold(small, ["doc_id"], folds=3).persist()
+    tree = DecisionTreeClassifier(weightCol="classWeight", seed=42, maxDepth=2)
+    evaluator = MulticlassClassificationEvaluator(metricName="recallByLabel", metricLabel=1.0)
+    grid = ParamGridBuilder().addGrid(tree.minInstancesPerNode, [1, 30]).build()
+    plain = CrossValidator(estimator=tree, estimatorParamMaps=grid, evaluator=evaluator, numFolds=3, foldCol="fold").fit(folded)
+    tuned = tuning.cross_validate(tree, {"minInstancesPerNode": [1, 30]}, tuning.class_score("recall"), folded, folds=3)
+    assert np.allclose(plain.avgMetrics, [r["score"] for r in tuned.scores.orderBy("candidate").collect()])
+
+
+def test_every_class_in_every_fold(spark):
+    rows = [(i, float(i < 7)) for i in range(2000)] + [(5000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, label double").repartition(7)
+    got = tuning.stratified_fold(df, ["doc_id"])
+    counts = {(r["label"], r["fold"]): r["count"] for r in got.groupBy("label", "fold").count().collect()}
+    assert sorted(counts[1.0, f] for f in range(5)) == [1, 1, 1, 2, 2]
+    assert {counts[0.0, f] for f in range(5)} <= {398, 399} and sum(counts[None, f] for f in range(5) if (None, f) in counts) == 1
+    again = tuning.stratified_fold(df.repartition(3), ["doc_id"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, again.collect()))
+    assert tuning.stratified_fold(df.filter("doc_id < 0"), ["doc_id"]).count() == 0
+
+
+def test_tuning_survives_a_rare_class(spark):
+    """Text features, 30 rows of which six are of class 1; a class that is never predicted scores zero."""
+    rows = [(i, float(i % 5 == 0), Vectors.sparse(40, [i, 39], [1.0, 1.0]), 1.0) for i in range(30)]
+    df = spark.createDataFrame(rows, ["doc_id", "label", "features", "classWeight"])
+    tuned = tuning.cv_decision_tree(tuning.stratified_fold(df, ["doc_id"]))
+    assert [tuple(r) for r in tuned.scores.select("candidate", "score").collect()] == [(0, 0.0)]
+    fewer = tuning.cv_gbt(tuning.add_fold(df.filter("doc_id <> 0"), ["doc_id"], 3), {"maxIter": [2]}, folds=3)
+    assert 0.0 <= fewer.scores.first()["score"] <= 1.0
 
 
 def test_text_models(spark, sf):

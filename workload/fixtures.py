@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from reviewlens.functions.text import embed_clean_tokens
 from reviewlens.operators.embeddings import word_vocabulary
 from reviewlens.operators.labels import align_labels, binary_label, label_from_rating
 from reviewlens.operators.splits import part, stable_split
+from reviewlens.operators.stats import add_class_weights
+from reviewlens.operators.tuning import stratified_fold
 from reviewlens.session import stage
 
 CUTS = (500, 1500, 5000)
@@ -82,6 +85,20 @@ def payload_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return divided.select("doc_id", F.col("Review").alias("text"), binary_label(F.col("Sentiment")).alias("label"), "split")
 
 
+def counted_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Rated reviews with three small counts as features, class weights and stratified folds.
+
+    Each count has at most 31 values, so trees consider every split point and SQL can do the same.
+    """
+    text = F.col("Review")
+    counts = [F.floor(F.col("n_chars") / 100), F.length(F.regexp_replace(text, "[^.]", "")), F.length(F.regexp_replace(text, r"[^\n]", ""))]
+    x = F.array(*(F.least(c, F.lit(30)).cast("double") for c in counts))
+    rows = reviews(spark, sf).select("doc_id", F.col("quality").cast("double").alias("label"), x.alias("x"))
+    weighted = add_class_weights(stage(rows, "counted"))
+    vectors = array_to_vector("x").alias("features"), array_to_vector(F.slice("x", 1, 2)).alias("two")
+    return stage(stratified_fold(weighted.select("*", *vectors), ["doc_id"]), "counted-folds")
+
+
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Quality predicted from the length, with a score in (0, 1)."""
     return reviews(spark, sf).select(

@@ -80,7 +80,7 @@ NEEDS = {
 }
 
 
-def _with(select: str, *ctes: str, extra: dict[str, str] | None = None) -> str:
+def _with(select: str, *ctes: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     ordered: list[str] = []
 
     def add(name: str) -> None:
@@ -93,7 +93,7 @@ def _with(select: str, *ctes: str, extra: dict[str, str] | None = None) -> str:
         add(name)
     parts = [f"{name} AS ({CTES[name]})" for name in ordered]
     parts += [f"{name} AS ({body})" for name, body in (extra or {}).items()]
-    return f"WITH {', '.join(parts)} {select}" if parts else select
+    return f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(parts)} {select}" if parts else select
 
 
 def _checksum(array: str) -> str:
@@ -501,19 +501,102 @@ def statements() -> dict[str, str]:
     return sql | model_rows()
 
 
+# --- models on three small counts ----------------------------------------------------------------
+
+CTES["counted"] = r"""SELECT *, n / (2.0::DOUBLE * count(*) OVER (PARTITION BY label)) AS w,
+    CAST((row_number() OVER (PARTITION BY label ORDER BY md5('42|' || doc_id), doc_id) - 1) % 5 AS INTEGER) AS fold
+    FROM (SELECT doc_id, quality AS label, count(*) OVER () AS n, least(n_chars // 100, 30)::DOUBLE AS x0,
+            least(length(regexp_replace(Review, '[^.]', '', 'g')), 30)::DOUBLE AS x1,
+            least(length(regexp_replace(Review, '[^\n]', '', 'g')), 30)::DOUBLE AS x2 FROM reviews)"""
+NEEDS["counted"] = ["reviews"]
+
+
+def _coefficients(weight: str, penalty: float) -> dict[str, str]:
+    """Newton steps of a logistic regression on two counts; the penalty acts on scaled coefficients."""
+    return {
+        "d": f"SELECT label AS y, {weight} AS w, x0 AS a, x1 AS b FROM counted",
+        "c": "SELECT sum(w) AS sw, sum(w) - sum(w * w) / sum(w) AS df, sum(w * a) / sum(w) AS ma, sum(w * b) / sum(w) AS mb FROM d",
+        "v": f"""SELECT any_value(sw) * {penalty} * sum(w * (a - ma) ** 2) / any_value(df) AS ra,
+            any_value(sw) * {penalty} * sum(w * (b - mb) ** 2) / any_value(df) AS rb FROM d, c""",
+        "newton": """
+          SELECT 0 AS i, 0.0::DOUBLE AS t0, 0.0::DOUBLE AS t1, 0.0::DOUBLE AS t2
+          UNION ALL
+          SELECT i + 1, t0 - (g0 * (h11 * h22 - h12 * h12) + g1 * (h02 * h12 - h01 * h22) + g2 * (h01 * h12 - h02 * h11)) / det,
+                 t1 - (g0 * (h02 * h12 - h01 * h22) + g1 * (h00 * h22 - h02 * h02) + g2 * (h01 * h02 - h00 * h12)) / det,
+                 t2 - (g0 * (h01 * h12 - h02 * h11) + g1 * (h01 * h02 - h00 * h12) + g2 * (h00 * h11 - h01 * h01)) / det
+          FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det FROM (
+            SELECT i, t0, t1, t2, sum(w * (p - y)) AS g0, sum(w * (p - y) * a) + any_value(ra) * t1 AS g1,
+                   sum(w * (p - y) * b) + any_value(rb) * t2 AS g2, sum(w * p * (1 - p)) AS h00, sum(w * p * (1 - p) * a) AS h01,
+                   sum(w * p * (1 - p) * b) AS h02, sum(w * p * (1 - p) * a * a) + any_value(ra) AS h11,
+                   sum(w * p * (1 - p) * a * b) AS h12, sum(w * p * (1 - p) * b * b) + any_value(rb) AS h22
+            FROM (SELECT *, 1 / (1 + exp(-(t0 + t1 * a + t2 * b))) AS p FROM newton, d, v WHERE i < 30) GROUP BY i, t0, t1, t2))""",
+        "learned": "SELECT round(t0, 4) AS intercept, round(t1, 4) AS coefficient_0, round(t2, 4) AS coefficient_1 FROM newton WHERE i = 30",
+    }
+
+
+def _splits(rows: str) -> dict[str, str]:
+    """Every split point of every count, per group ``g``, with its weighted Gini gain and the leaves' class shares."""
+    return {
+        "long": f"SELECT g, label, w, unnest([0, 1, 2]) AS feature, unnest([x0, x1, x2]) AS x FROM {rows}",
+        "bins": "SELECT g, feature, x, count(*) AS n, sum(w) AS w, coalesce(sum(w) FILTER (label = 1), 0) AS p FROM long GROUP BY ALL",
+        "sums": """SELECT g, feature, (x + lead(x) OVER o) / 2 AS threshold, sum(n) OVER o AS nl, sum(n) OVER a AS n, sum(w) OVER o AS wl,
+          sum(w) OVER a AS w, sum(p) OVER o AS pl, sum(p) OVER a AS p FROM bins
+          WINDOW o AS (PARTITION BY g, feature ORDER BY x), a AS (PARTITION BY g, feature)""",
+        "splits": """SELECT g, feature, threshold, nl, n - nl AS nr, pl / wl AS left_share, (p - pl) / (w - wl) AS right_share,
+          2 * (p / w * (1 - p / w) - pl * (1 - pl / wl) / w - (p - pl) * (1 - (p - pl) / (w - wl)) / w) AS gain
+          FROM sums WHERE threshold IS NOT NULL""",
+    }
+
+
+def _first_split(weight: str, leaf: str) -> dict[str, str]:
+    return {
+        "given": f"SELECT 0 AS g, label, {weight} AS w, x0, x1, x2 FROM counted",
+        **_splits("given"),
+        "learned": f"""SELECT feature, threshold, round({leaf.format('left_share')}, 6) AS "left",
+          round({leaf.format('right_share')}, 6) AS "right" FROM splits ORDER BY gain DESC, feature, threshold LIMIT 1""",
+    }
+
+
+def _cross_validated(least: list[int], gains: list[float], metric: str) -> str:
+    """Mean score of one-level trees over the folds, per candidate, as the grid deals them."""
+    grid = ", ".join(f"({i}, {n}, {g})" for i, (g, n) in enumerate((g, n) for g in gains for n in least))
+    figure = {"f1": "2 * tp / (2 * tp + fp + fn)", "recall": "tp / (tp + fn)"}[metric]
+    return _with(
+        f"""SELECT CAST(c AS INTEGER) AS candidate, round(avg(score), 6) AS score,
+        c = first_value(c) OVER (ORDER BY round(avg(score), 12) DESC, c) AS best FROM scored GROUP BY c""",
+        "counted",
+        extra={
+            "trained": "SELECT g, label, w, x0, x1, x2 FROM counted, range(5) f(g) WHERE fold <> g",
+            **_splits("trained"),
+            "grid": f"SELECT * FROM (VALUES {grid}) v(c, least, gain)",
+            "ranked": """SELECT c, g, feature, threshold, left_share, right_share,
+              row_number() OVER (PARTITION BY c, g ORDER BY s.gain DESC, feature, threshold) AS place
+              FROM splits s JOIN grid ON nl >= least AND nr >= least AND s.gain >= grid.gain AND s.gain > 0""",
+            "plain": "SELECT g, sum(w) FILTER (label = 1) > sum(w) FILTER (label = 0) AS one FROM trained GROUP BY g",
+            "guessed": """SELECT grid.c, plain.g, label, CASE WHEN place IS NULL THEN one WHEN [x0, x1, x2][feature + 1] <= threshold
+              THEN left_share > 0.5 ELSE right_share > 0.5 END AS one
+              FROM counted JOIN plain ON fold = g CROSS JOIN grid LEFT JOIN ranked r ON r.c = grid.c AND r.g = plain.g AND place = 1""",
+            "scored": f"""SELECT c, g, coalesce({figure}, 0) AS score FROM (SELECT c, g, count(*) FILTER (one AND label = 1) AS tp,
+              count(*) FILTER (one AND label = 0) AS fp, count(*) FILTER (NOT one AND label = 1) AS fn FROM guessed GROUP BY c, g)""",
+        },
+    )
+
+
 _MAJORITY = """(SELECT Sentiment FROM sided WHERE split = 'train' GROUP BY Sentiment ORDER BY count(*) DESC, Sentiment LIMIT 1)"""
 CLASSIC = ["Logistic Regression (Baseline)", "Decision Tree (Weighted)", "Random Forest (Weighted)", "Gradient Boosting"]
 BIGRAM = ["Logistic Regression (Baseline)", "Decision Tree", "Random Forest", "Gradient Boosting"]
 
 
-def _test_rows(methods: list[str], zero: str, *more: str) -> str:
+def _test_rows(methods: list[str], zero: str, *more: str, learned: dict[str, str] | None = None) -> str:
     """A row per method: test rows of class 0 (whose sentiment is ``zero``) and of class 1."""
     names = ", ".join(f"('{name}')" for name in methods)
     extra = "".join(f", {column}" for column in more)
     return _with(
         f"""SELECT Method, count(*) FILTER (Sentiment = {zero}) AS negatives, count(*) FILTER (Sentiment <> {zero}) AS positives,
-        true AS accuracy_fits{extra} FROM sided, (VALUES {names}) m(Method) WHERE split = 'test' GROUP BY Method""",
-        "sided",
+        true AS accuracy_fits{extra} FROM sided, (VALUES {names}) m(Method){', learned' if learned else ''} WHERE split = 'test' GROUP BY Method""",
+        *(["sided", "counted"] if learned else ["sided"]),
+        extra=learned,
+        recursive=bool(learned),
     )
 
 
@@ -525,14 +608,27 @@ def model_rows() -> dict[str, str]:
         "rf_weighted": CLASSIC[2],
         "gbt_plain": CLASSIC[3],
     }
-    sql = {name: _test_rows([method], _MAJORITY, "count(*) AS sound_rows") for name, method in single.items()}
+    learned = {
+        "lr_unweighted": (_coefficients("1.0::DOUBLE", 0.0), ("intercept", "coefficient_0", "coefficient_1")),
+        "lr_weighted": (_coefficients("w", 0.01), ("intercept", "coefficient_0", "coefficient_1")),
+        "dt_weighted": (_first_split("w", "{}"), ("feature", "threshold", '"left"', '"right"')),
+        "rf_weighted": (_first_split("w", "{}"), ("feature", "threshold", '"left"', '"right"')),
+        "gbt_plain": (_first_split("1.0::DOUBLE", "(2 * {} - 1)"), ("feature", "threshold", '"left"', '"right"')),
+    }
+    sql = {}
+    for name, method in single.items():
+        ctes, columns = learned[name]
+        more = [f"any_value(learned.{column}) AS {column}" for column in columns]
+        sql[name] = _test_rows([method], _MAJORITY, "count(*) AS sound_rows", *more, learned=ctes)
     sql["compare_classic_models"] = _test_rows(CLASSIC, _MAJORITY)
     sql["bigram_model_suite"] = _test_rows(BIGRAM, "'negative'")
     sql["lr_on_embeddings"] = _test_rows(["Word2Vec", "GloVe", "BERT"], "'negative'", "true AS auc_in_range")
-    for name in ("cv_decision_tree", "cv_random_forest", "cv_gbt"):
-        sql[name] = _test_rows([name], _MAJORITY, "true AS score_in_range", "true AS winner_is_best")
-    sql["best_params"] = """SELECT *, true AS winner_is_best FROM (VALUES ('maxDepth'), ('impurity'), ('maxBins'),
-        ('minInstancesPerNode'), ('minInfoGain'), ('minWeightFractionPerNode')) p(param)"""
+    sql["cv_decision_tree"] = _cross_validated([1, 7, 60], [0.0], "f1")
+    sql["cv_random_forest"] = _cross_validated([2, 40], [0.0, 0.02], "recall")
+    sql["cv_gbt"] = _cross_validated([1, 30], [0.0], "recall")
+    sql["best_params"] = f"""SELECT param, value FROM (VALUES ('maxDepth', '1'), ('impurity', 'gini'), ('maxBins', '128'), ('minInfoGain', '0.0'),
+        ('minInstancesPerNode', (SELECT (ARRAY['1', '7', '60'])[candidate + 1] FROM ({sql["cv_decision_tree"]}) WHERE best))) p(param, value)"""
+    sql["stratified_folds"] = _with("SELECT doc_id, CAST(label AS INTEGER) AS label, fold FROM counted", "counted")
     sql["weighted_ensemble"] = _test_rows(["Weighted vote"], "'positive'")
     sql["smote_lr"] = _test_rows(["Balanced by synthetic rows"], "'positive'")
     sql["threshold_moving"] = _test_rows(["Moved threshold"], "'positive'", "true AS threshold_in_grid")

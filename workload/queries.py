@@ -605,22 +605,64 @@ def _sound_rows(model, test: DataFrame) -> int:
     return model.transform(test).agg(F.count_if((F.abs(p[0] + p[1] - 1) < 1e-9) & likelier)).first()[0]
 
 
-def _one_model(name: str, make: Callable, method: str) -> None:
+def _one_model(name: str, make: Callable, method: str, learned: Callable) -> None:
+    """Test rows by class of a model on text features, and what the same method learns from small counts."""
+
     def run(spark, sf):
         train, test, _ = models.prepare_features(*fx.train_test(spark, sf))
         fitted = models.fit_all({method: make()}, train)
         rows = metrics.metrics_rows(models.score_models(fitted, test))
-        return _support(rows).withColumn("sound_rows", F.lit(_sound_rows(fitted[method], test)).cast("long"))
+        rows = _support(rows).withColumn("sound_rows", F.lit(_sound_rows(fitted[method], test)).cast("long"))
+        return rows.withColumns({n: F.lit(v) for n, v in learned(fx.counted_reviews(spark, sf)).items()})
 
     run.__name__ = name
     query(run)
 
 
-_one_model("lr_unweighted", models.lr_unweighted, "Logistic Regression")
-_one_model("lr_weighted", models.lr_weighted, "Logistic Regression (Baseline)")
-_one_model("dt_weighted", models.dt_weighted, "Decision Tree (Weighted)")
-_one_model("rf_weighted", models.rf_weighted, "Random Forest (Weighted)")
-_one_model("gbt_plain", models.gbt_plain, "Gradient Boosting")
+def _coefficients(estimator):
+    """Intercept and coefficients on two counts, fitted to a tolerance at which four digits are settled."""
+
+    def learned(table):
+        model = estimator().setTol(1e-13).setFeaturesCol("two").fit(table)
+        named = {"intercept": model.intercept} | {f"coefficient_{i}": c for i, c in enumerate(model.coefficients)}
+        return {n: round(float(v), 4) for n, v in named.items()}
+
+    return learned
+
+
+def _first_split(estimator, value: Callable[[], Column], tree: Callable = lambda model: model):
+    """The root split of a one-level tree on three counts, and the value of both leaves."""
+
+    def learned(table):
+        model = estimator().fit(table)
+        feature, threshold = models.root_split(tree(model))
+        left = F.col("x")[feature] <= threshold
+        leaves = model.transform(table).agg(F.max(F.when(left, value())), F.max(F.when(~left, value()))).first()
+        return {"feature": feature, "threshold": threshold, "left": round(leaves[0], 6), "right": round(leaves[1], 6)}
+
+    return learned
+
+
+def _share() -> Column:
+    return to_array(F.col("probability"))[1]
+
+
+def _margin() -> Column:
+    return to_array(F.col("rawPrediction"))[1]
+
+
+_one_model("lr_unweighted", models.lr_unweighted, "Logistic Regression", _coefficients(models.lr_unweighted))
+_one_model("lr_weighted", models.lr_weighted, "Logistic Regression (Baseline)", _coefficients(models.lr_weighted))
+_one_model("dt_weighted", models.dt_weighted, "Decision Tree (Weighted)", _first_split(lambda: models.dt_weighted(max_depth=1), _share))
+_one_model(
+    "rf_weighted", models.rf_weighted, "Random Forest (Weighted)", _first_split(lambda: models.rf_weighted(num_trees=1, max_depth=1).setBootstrap(False), _share)
+)
+_one_model(
+    "gbt_plain",
+    models.gbt_plain,
+    "Gradient Boosting",
+    _first_split(lambda: models.gbt_plain(max_iter=1, max_depth=1), _margin, lambda model: model.trees[0]),
+)
 
 
 @query
@@ -658,50 +700,38 @@ def lr_on_embeddings(spark, sf):
     return _support(together, F.col("AUC").between(0, 1).alias("auc_in_range"))
 
 
-def _folded(spark, sf):
-    train, test, _ = models.prepare_features(*fx.train_test(spark, sf), keep=("doc_id",))
-    return tuning.add_fold(train, ["doc_id"]), test
+#: Candidates of one level, whose mean scores SQL can compute: what each method's grid varies, over folds of counts.
+CV_GRIDS = {
+    "cv_decision_tree": {"maxDepth": [1], "impurity": ["gini"], "maxBins": [128], "minInstancesPerNode": [1, 7, 60], "minInfoGain": [0.0]},
+    "cv_random_forest": {"maxDepth": [1], "numTrees": [1], "bootstrap": [False], "featureSubsetStrategy": ["all"], "minInfoGain": [0.0, 0.02], "minInstancesPerNode": [2, 40]},
+    "cv_gbt": {"maxDepth": [1], "maxIter": [1], "weightCol": ["classWeight"], "minInstancesPerNode": [1, 30]},
+}
 
 
-def _winner_is_best(fitted) -> bool:
-    """Whether the model that was kept has the parameters with the highest mean score."""
-    best = max(range(len(fitted.avgMetrics)), key=lambda i: fitted.avgMetrics[i])
-    chosen = {p.name: v for p, v in fitted.bestModel.extractParamMap().items()}
-    return all(chosen[p.name] == v for p, v in fitted.getEstimatorParamMaps()[best].items())
-
-
-def _tuned(name: str, tune: Callable, grid: dict, metric: str) -> None:
+def _tuned(name: str, tune: Callable) -> None:
     def run(spark, sf):
-        train, test = _folded(spark, sf)
-        fitted = tune(train, grid)
-        scored = models.score_models({name: fitted.bestModel}, test)
-        by_label = metrics.by_label_metrics(scored, by=["Method"]).select(
-            "Method", F.col("recall" if metric == "recallByLabel" else "f1").alias("TestScore")
-        )
-        rows = metrics.metrics_rows(scored).join(by_label, "Method", "left")
-        in_range = F.coalesce("TestScore", F.lit(0.0)).between(0, 1).alias("score_in_range")
-        return _support(rows, in_range).withColumn("winner_is_best", F.lit(_winner_is_best(fitted)))
+        tuned = tune(fx.counted_reviews(spark, sf), CV_GRIDS[name])
+        return rounded(tuned.scores.select("candidate", "score", "best"), "score")
 
     run.__name__ = name
     query(run)
 
 
-#: More than one candidate each, so that there is something to choose.
-TREE_GRID = tuning.DECISION_TREE_GRID | {"maxDepth": [2, 4]}
-_tuned("cv_decision_tree", tuning.cv_decision_tree, TREE_GRID, "fMeasureByLabel")
-_tuned("cv_random_forest", tuning.cv_random_forest, tuning.RANDOM_FOREST_GRID, "recallByLabel")
-_tuned("cv_gbt", tuning.cv_gbt, tuning.GBT_GRID, "recallByLabel")
+_tuned("cv_decision_tree", tuning.cv_decision_tree)
+_tuned("cv_random_forest", tuning.cv_random_forest)
+_tuned("cv_gbt", tuning.cv_gbt)
 
 
 @query
 def best_params(spark, sf):
-    """The tuned parameters of the winner; whether each value is one of its candidates."""
-    train, _ = _folded(spark, sf)
-    fitted = tuning.cv_decision_tree(train, TREE_GRID)
-    allowed = [(name, str(value)) for name, values in TREE_GRID.items() for value in values]
-    candidates = spark.createDataFrame(allowed, "param string, value string")
-    found = tuning.best_params(fitted, train).filter(F.col("param").isin(*TREE_GRID))
-    return found.join(candidates, ["param", "value"]).select("param", F.lit(_winner_is_best(fitted)).alias("winner_is_best"))
+    """The tuned parameters of the winning decision tree."""
+    tuned = tuning.cv_decision_tree(fx.counted_reviews(spark, sf), CV_GRIDS["cv_decision_tree"])
+    return tuning.best_params(tuned).filter("tuned").select("param", "value")
+
+
+@query
+def stratified_folds(spark, sf):
+    return fx.counted_reviews(spark, sf).select("doc_id", F.col("label").cast("int").alias("label"), "fold")
 
 
 def _as_vector(*elements: Column) -> Column:
