@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlens.sources.csv_records import csv_records
+
 RAW_REVIEWS = T.StructType([T.StructField("Review", T.StringType()), T.StructField("Rating", T.StringType())])
 
 # Fixed value: the line an embedding evaluation prints.
@@ -21,37 +24,59 @@ METRICS_LINE = (
 EMBEDDING_METHODS = ("Word2Vec", "GloVe", "BERT")
 
 
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\u0000",  # by default it equals the empty string, and both are read as null
+    "enforceSchema": False,  # headers are compared with the first one
+}
+
+
 def read_reviews_csv(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = RAW_REVIEWS, multi_line: bool = True
 ) -> DataFrame:
     """CSV with a header. Quoted fields may hold newlines and doubled quotes.
 
-    ``schema`` names the wanted columns; ``None`` infers all. Each path of a list is read by its own
-    header, in which columns stand in any order and among others, and a wanted column that a path has
-    not is null. The files of one path must have the same header: another one is an error, not a mix-up.
-    An empty field is null, a quoted empty field an empty string. A file with newlines inside fields
-    cannot be split among tasks: keep such input in many files, or pass ``multi_line=False`` where
-    fields hold no newlines.
+    ``schema`` names the wanted columns; ``None`` infers all, and then a file is one task. Each path of a list is
+    read by its own header, in which columns stand in any order and among others, and a wanted column that a
+    path has not is null. The files of one path must have the same header: another one is an error, not a mix-up.
+    An empty field is null, a quoted empty field an empty string.
+
+    A file is cut into records by many tasks, whether fields hold newlines or not, see ``csv_records``.
+    ``multi_line=False`` saves the pass that looks for them, where there are none.
     """
-    options = {
-        "header": True,
-        "multiLine": multi_line,
-        "escape": '"',
-        "ignoreLeadingWhiteSpace": False,
-        "ignoreTrailingWhiteSpace": False,
-        "nullValue": "\u0000",  # by default it equals the empty string, and both are read as null
-        "enforceSchema": False,  # headers are compared with the first one
-    }
     if schema is None:
-        return spark.read.options(**options, inferSchema=True).csv(path)
+        return spark.read.options(**_CSV, multiLine=multi_line, inferSchema=True).csv(path)
     parts = []
     for one in [path] if isinstance(path, str) else path:
-        as_text = spark.read.options(**options, inferSchema=False).csv(one)
+        as_text = spark.read.options(**_CSV, multiLine=multi_line, inferSchema=False).csv(one)
+        fields = _parsed_records(spark, one, as_text.columns) if multi_line else as_text
         there = {f.name: F.col(f"`{f.name}`") if f.name in as_text.columns else F.lit(None) for f in schema.fields}
-        parts.append(as_text.select(*[there[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]))
+        parts.append(fields.select(*[there[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _parsed_records(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Records of the files of one path as strings under ``columns``, the header of its first file."""
+    if not columns:
+        return spark.createDataFrame([], T.StructType([]))
+    names = [f"c{i}" for i in range(len(columns))]
+    options = {name: str(value) for name, value in _CSV.items() if name not in ("header", "enforceSchema")} | {"multiLine": "true"}
+    parsed = F.from_csv("record", F.lit(", ".join(f"{name} string" for name in names)), options)
+    rows = csv_records(spark, path).select("file", "header", parsed.alias("r"))
+    found = F.array(*[F.coalesce(f"r.{name}", F.lit("")) for name in names])
+    message = F.concat(F.lit("another header in "), F.col("file"), F.lit(": "), F.array_join(found, ","))
+    # Spark names columns without a name _c0, _c1, ..., and appends the number to a repeated name.
+    other = [
+        (found[i] != c) & (F.concat(found[i], F.lit(str(i))) != c) & ((found[i] != "") | F.lit(c != f"_c{i}"))
+        for i, c in enumerate(columns)
+    ]
+    checked = F.when(F.col("header") & reduce(or_, other), F.raise_error(message)).otherwise(F.col("header"))
+    return rows.filter(~checked.cast("boolean")).select(*[F.col(f"r.{name}").alias(c) for name, c in zip(names, columns)])
+
+
 def read_vectors(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.parquet(*paths)

@@ -1,6 +1,7 @@
 """Readers and sinks."""
 
 import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.session import clear_staged, scratch_path, shared_folder, stage
 from reviewlens.sources import readers, writers
+from reviewlens.sources.csv_records import csv_records
 
 
 def test_csv_round_trip(spark):
@@ -24,7 +26,7 @@ def test_csv_from_elsewhere(spark, tmp_path):
     file = tmp_path / "reviews.csv"
     file.write_text('id,Rating,Review\n1,3.0,"He said ""no""\nand left"\n2,abc,plain\n')
     got = readers.read_reviews_csv(spark, str(file)).collect()
-    assert [tuple(r) for r in got] == [('He said "no"\nand left', "3.0"), ("plain", "abc")]
+    assert sorted(tuple(r) for r in got) == [('He said "no"\nand left', "3.0"), ("plain", "abc")]
 
 
 def test_csv_headers_of_each_path(spark, tmp_path):
@@ -37,10 +39,47 @@ def test_csv_headers_of_each_path(spark, tmp_path):
     got = sorted(tuple(r) for r in readers.read_reviews_csv(spark, paths).collect())
     assert got == [("t1", "5"), ("t2", "4"), ("t3", None), ("t4", "1")]
     for multi_line in (True, False):
-        with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        with pytest.raises(Exception, match="FAILED_READ_FILE|another header"):
             readers.read_reviews_csv(spark, str(tmp_path / "[ab]"), multi_line=multi_line).collect()
 
 
+def plain_csv(spark, path):
+    """Spark's own reader, one task for a file."""
+    options = dict(header=True, multiLine=True, escape='"', nullValue="\0", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return spark.read.options(**options).csv(path)
+
+
+@pytest.mark.parametrize("size", ["64", "333", "4096", "128m"])
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, size):
+    """Newlines, quotes and long fields at every place of a range boundary: the rows of Spark's own reader."""
+    pick = random.Random(3)
+    fields = ["plain", "", '""', '"a\nb"', '"say ""hi""\n\n\nand ""go"""', '"' + "long line\n" * 30 + '"', "é ß", '"x,y"', '"\r\n in crlf"', '"""\n"""']
+    text = "id,Review,Rating\n" + "".join(f"{i},{pick.choice(fields)},{pick.choice(fields)}\n" for i in range(400))
+    (tmp_path / "one.csv").write_bytes(text.encode())
+    (tmp_path / "two.csv").write_bytes(b'id,Review,Rating\r\n7,"a\nb",\r\n\r\n8,"c",d')
+    path = str(tmp_path / "*.csv")
+    want = sorted(map(str, plain_csv(spark, path).select("Review", "Rating").collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        read = readers.read_reviews_csv(spark, path)
+        ranges = csv_records(spark, path).rdd.getNumPartitions()
+        assert sorted(map(str, read.collect())) == want and len(want) == 402
+        assert ranges > 10 or size in ("4096", "128m")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_unclosed_and_empty_files(spark, tmp_path):
+    (tmp_path / "open.csv").write_text('Review,Rating\na,1\nb,"never\nclosed\n')
+    (tmp_path / "bare.csv").write_text("Review,Rating\n")
+    (tmp_path / "empty.csv").write_text("")
+    assert readers.read_reviews_csv(spark, str(tmp_path / "open.csv")).count() == 2
+    assert readers.read_reviews_csv(spark, str(tmp_path / "bare.csv")).count() == 0
+    assert readers.read_reviews_csv(spark, str(tmp_path / "empty.csv")).count() == 0
+
+
 def test_last_word_vector_counts(spark, tmp_path):
     file = tmp_path / "vectors.txt"
     file.write_text("a 1 1\na 3 3\nb 10 10\n")
