@@ -7,9 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators.keywords import top_keywords
+from reviewlens.functions.text import DOMAIN_STOPWORDS_LONG, english_stopwords, keyword_tokens, word_count_raw
+from reviewlens.operators.ranking import top_k_per_group
 from reviewlens.operators.splits import TRAIN
-from reviewlens.operators.stats import dataset_stats
+from reviewlens.operators.stats import stats_of_histogram
+from reviewlens.session import stage
 
 # Names the chart readers expect.
 STATS_FIELDS = {
@@ -29,6 +31,27 @@ def _part(df: DataFrame, name: str, value) -> DataFrame:
     return df.agg(value.alias(name))
 
 
+def review_counts(reviews: DataFrame, text: str, label: str) -> DataFrame:
+    """``(side, class, w, word, n)`` from one scan: rows by number of words, and the keywords of train rows.
+
+    A row gives one mark for its number of words, whose ``word`` is null, and one for each keyword, whose ``w`` is null.
+    All marks are counted together, in each task before the shuffle. The outer form of ``inline`` keeps
+    Catalyst from computing the keywords a second time in a filter.
+    """
+
+    def mark(w, word):
+        return F.struct(w.cast("long").alias("w"), word.cast("string").alias("word"))
+
+    words = F.when(F.col("split") == TRAIN, keyword_tokens(F.col(text)))
+    none = F.lit(None)
+    marks = F.concat(
+        F.array(mark(word_count_raw(F.col(text)), none)),
+        F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda word: mark(none, word)),
+    )
+    marked = reviews.select(F.col("split").alias("side"), F.col(label).alias("class"), F.inline_outer(marks))
+    return marked.groupBy("side", "class", "w", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def dataset_payload(
     reviews: DataFrame,
     results: DataFrame,
@@ -42,9 +65,11 @@ def dataset_payload(
     """One row: statistics, class counts, model metrics, matrices, keywords and notes.
 
     ``reviews`` carries ``split`` and a 0/1 label; ``results`` are comparison rows with a matrix.
-    The parts are computed apart and merged by one aggregation over as many rows as there are parts.
+    The reviews are read once, for statistics, classes and keywords together. The parts are merged by one
+    aggregation over as many rows as there are parts.
     """
-    stats = dataset_stats(reviews, text, label)
+    counts = stage(review_counts(reviews, text, label), "review-counts")
+    stats = stats_of_histogram(counts.filter(F.col("word").isNull()).select("w", "side", "class", "n"))
     figures = F.struct(*[F.col(name).alias(field) for name, field in STATS_FIELDS.items()])
     balance = F.array(
         F.struct(F.lit("Negative").alias("label"), F.col("negative_count").alias("count")),
@@ -63,9 +88,14 @@ def dataset_payload(
     extra = tuple(name for name in ("AUC",) if name in embedding_results.columns)
     parts.append(_part(embedding_results, "embeddingModels", models(embedding_results, extra)))
 
-    train = reviews.filter(F.col("split") == TRAIN)
-    named = train.withColumn("_class", F.when(F.col(label) == 1, "positive").when(F.col(label) == 0, "negative"))
-    words = top_keywords(named.filter(F.col("_class").isNotNull()), text, "_class", k)
+    named = F.when(F.col("class") == 1, "positive").when(F.col("class") == 0, "negative")
+    stopwords = sorted({*english_stopwords(), *DOMAIN_STOPWORDS_LONG})
+    words = (
+        counts.filter(F.col("word").isNotNull() & ~F.col("word").isin(stopwords))
+        .select(named.alias("label"), "word", F.col("n").alias("value"))
+        .filter(F.col("label").isNotNull() & (F.col("word") != F.col("label")))
+    )
+    words = top_k_per_group(words, ["label"], [F.desc("value"), F.asc("word")], k)
 
     def ranked(name: str):
         entry = F.when(F.col("label") == name, F.struct("rank", "word", "value"))

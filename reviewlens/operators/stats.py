@@ -134,6 +134,11 @@ def dataset_stats(df: DataFrame, text: str, label: str, split: str = "split", po
     histogram = df.groupBy(
         word_count_raw(F.col(text)).cast("long").alias("w"), F.col(split).alias("side"), F.col(label).alias("class")
     ).agg(F.count(F.lit(1)).alias("n"))
+    return stats_of_histogram(histogram, positive, negative)
+
+
+def stats_of_histogram(histogram: DataFrame, positive=1, negative=0) -> DataFrame:
+    """The row of ``dataset_stats`` from ``(w, side, class, n)``: word counts, split sides, classes and rows."""
 
     def rows_where(condition):
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -175,13 +178,64 @@ def read_if_present(spark: SparkSession, paths: Mapping[str, str], format: str =
     return found
 
 
-def load_or_build(spark: SparkSession, path: str, build, format: str = "json") -> DataFrame:
-    """The table at ``path`` if it exists, else the result of ``build()``, written there first."""
-    found = read_if_present(spark, {"table": path}, format)
-    if not found:
-        build().write.format(format).save(path)
-        found = read_if_present(spark, {"table": path}, format)
-    return found["table"]
+_FINGERPRINT = "_fingerprint"  # a file beside the data; readers skip names with an underscore
+
+
+def input_fingerprint(spark: SparkSession, paths: Sequence[str], version: str = "") -> str:
+    """A digest of the names, sizes and times of all files below ``paths``, and of the builder's ``version``.
+
+    Only the listing is read. A path that does not exist counts as one without files.
+    """
+    digest = hashlib.sha256(version.encode())
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in sorted(paths):
+        root = hadoop.Path(path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        digest.update(f"|{path}".encode())
+        if not files.exists(root):
+            continue
+        found, listing = [], files.listFiles(root, True)
+        while listing.hasNext():
+            status = listing.next()
+            found.append(f"{status.getPath().toString()}:{status.getLen()}:{status.getModificationTime()}")
+        digest.update("|".join(sorted(found)).encode())
+    return digest.hexdigest()
+
+
+def _published(files, folder, fingerprint: str) -> bool:
+    """Whether a complete result with this fingerprint lies in the folder."""
+    mark = folder.suffix(f"/{_FINGERPRINT}")
+    if not files.exists(mark):
+        return False
+    with contextlib.closing(files.open(mark)) as stream:
+        return bytes(stream.readAllBytes()).decode() == fingerprint
+
+
+def load_or_build(
+    spark: SparkSession, path: str, build, format: str = "json", inputs: Sequence[str] = (), version: str = ""
+) -> DataFrame:
+    """The table at ``path`` if it is complete and its ``inputs`` are unchanged, else the result of ``build()``.
+
+    A result is written beside ``path`` with the fingerprint of its inputs, and renamed only when it is
+    whole: a writer that dies leaves the old result, or none, and a half-written, foreign or stale folder is
+    built again. ``version`` names the builder; another one makes a result stale. The fingerprint is taken before
+    building, so that an input that changes meanwhile is noticed the next time. What replaces a table that is
+    being read makes that reader fail rather than mix both. On object stores, whose renames copy, use a table format.
+    """
+    fingerprint = input_fingerprint(spark, inputs, version)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not _published(files, target, fingerprint):
+        aside = target.suffix(f".{uuid.uuid4().hex}")
+        build().write.format(format).save(aside.toString())
+        with contextlib.closing(files.create(aside.suffix(f"/{_FINGERPRINT}"))) as stream:
+            stream.write(bytearray(fingerprint.encode()))
+        files.delete(target, True)
+        if not files.rename(aside, target) and not _published(files, target, fingerprint):
+            raise OSError(f"could not move {aside.toString()} to {path}")
+        files.delete(aside, True)  # left where another writer was first
+    return spark.read.format(format).load(path)
 
 
 def rows_to_frame(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.ml.linalg import DenseVector, SparseVector, Vectors
 from pyspark.sql import functions as F
 
 from reviewlens.functions.vectors import sparse_entries, sparse_vectors, to_array, to_vector
-from reviewlens.operators import embeddings, features
+from reviewlens.operators import dictionary, embeddings, features
+from reviewlens.session import stage
 from workload import fixtures as fx
 
 
@@ -108,3 +109,117 @@ def test_encoder_reads_whole_texts(spark):
     encoded = embeddings.batch_encode_text(docs, embeddings.hashing_encoder(8))
     sums = {r["id"]: r["features"].toArray().sum() for r in encoded.collect()}
     assert sums == {1: 3001.0, 2: 0.0}
+
+
+def token_rows(spark, sf):
+    from reviewlens.operators.features import _through, tokenizer_stages
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    return stage(_through(docs, tokenizer_stages("text", "nonword")).select("doc_id", "tokens"), "tokens")
+
+
+def test_dictionary_vectors_are_those_of_the_driver_form(spark, sf):
+    from reviewlens.operators.features import count_vectorizer
+
+    tokens = token_rows(spark, sf)
+    model, frequencies, rows = count_vectorizer(tokens, "tokens")
+    terms = dictionary.term_dictionary(tokens, "doc_id", "tokens", vocab_size=10_000)
+    listed = terms.orderBy("id").collect()
+    assert [r["term"] for r in listed] == model.vocabulary and [r["df"] for r in listed] == frequencies
+    assert [r["id"] for r in listed] == list(range(len(listed)))
+    both = dictionary.dictionary_vectors(tokens, "doc_id", "tokens", terms, len(listed)).join(
+        model.transform(tokens).select("doc_id", "raw_features"), "doc_id"
+    )
+    assert both.count() == rows and all(r["features"] == r["raw_features"] for r in both.collect())
+
+
+def test_dictionary_edges(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, None), (4, ["zz"]), (5, ["b"]), (5, ["b"])], "doc_id long, tokens array<string>")
+    terms = dictionary.term_dictionary(docs, "doc_id", "tokens")
+    assert [tuple(r) for r in terms.select("term", "id", "n", "df").collect()] == [("b", 0, 3, 2)]
+    got = {r["doc_id"]: r["features"].toArray().tolist() for r in dictionary.dictionary_vectors(docs, "doc_id", "tokens", terms, 1).collect()}
+    assert got == {1: [1.0], 2: [0.0], 3: [0.0], 4: [0.0], 5: [2.0]}
+    empty = dictionary.term_dictionary(docs.limit(0), "doc_id", "tokens")
+    assert empty.count() == 0 and dictionary.dictionary_vectors(docs.limit(0), "doc_id", "tokens", empty, 0).count() == 0
+
+
+def test_many_terms_never_reach_the_driver(spark, monkeypatch):
+    """300,000 terms: numbered without gaps by several tasks, and no action returns rows."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.concat(F.lit("t"), ((F.col("id") * 20 + i) % 300_000).cast("string"))).alias("tokens")
+    )
+    for action in ("collect", "toPandas", "toArrow", "take", "first", "head"):
+        monkeypatch.setattr(Classic, action, lambda *_, **__: pytest.fail("rows on the driver"))
+    terms = dictionary.term_dictionary(docs, "doc_id", "tokens")
+    vectors = dictionary.dictionary_vectors(docs, "doc_id", "tokens", terms, 300_000)
+    assert terms.filter("id between 0 and 299999").select("id").distinct().count() == 300_000
+    assert vectors.count() == 30_000
+    text = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "GlobalLimit" not in text
+
+
+def test_label_dictionary(spark):
+    from reviewlens.operators.labels import index_label
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate("bbbaaccd")] + [(9, None)], "id long, v string")
+    numbers = dictionary.label_dictionary(df, "v")
+    want = {r["id"]: r["label"] for r in index_label(df, "v").collect()}
+    assert {r["id"]: r["label"] for r in dictionary.index_by(df, "v", numbers).collect()} == want
+    unseen = spark.createDataFrame([(1, "new"), (2, "a"), (3, None)], "id long, v string")
+    got = {how: {r["id"]: r["label"] for r in dictionary.index_by(unseen, "v", numbers, on_unseen=how).collect()} for how in ("skip", "keep", "null")}
+    assert got == {"skip": {2: 1.0}, "keep": {1: 4.0, 2: 1.0, 3: 4.0}, "null": {1: None, 2: 1.0, 3: None}}
+
+
+def test_token_batches():
+    lengths = [5, 20_000, 1, 7, 7, 3, 400, 0]
+    batches = embeddings.token_batches(lengths, 3, 100)
+    assert sorted(i for b in batches for i in b) == list(range(8))
+    for b in batches:
+        assert len(b) <= 3 and (len(b) == 1 or len(b) * max(lengths[i] for i in b) <= 100)
+    assert embeddings.token_batches([], 3, 100) == []
+
+
+def test_encoding_does_not_depend_on_the_batches(spark):
+    """Short and very long texts: the same vectors in any batching, in the order of the rows, bounded batches."""
+    rows = [(i, " ".join(["word", "other", chr(97 + i % 26) * 3] * (7000 if i == 5 else i % 40))) for i in range(200)] + [(900, None)]
+    df = spark.createDataFrame(rows, "id long, text string").coalesce(2)
+
+    def checked():
+        inner = embeddings.hashing_encoder(8)()
+
+        def encode(texts):
+            padded = len(texts) * max(t.count(" ") + 1 for t in texts)
+            assert len(texts) == 1 or padded <= 300, padded
+            return inner(texts)
+
+        return encode
+
+    one = embeddings.batch_encode_text(df, embeddings.hashing_encoder(8), "text", batch_size=1).collect()
+    many = embeddings.batch_encode_text(df, checked, "text", token_budget=300).collect()
+    assert [r["id"] for r in many] == [r["id"] for r in rows_of(df)] and one == many
+    assert one[5]["features"].toArray().sum() == 21_000
+    cut = embeddings.batch_encode_text(df, embeddings.hashing_encoder(8), "text", max_tokens=128).collect()
+    assert cut[5]["features"].toArray().sum() == 128 and cut[3] == one[3]
+
+
+def rows_of(df):
+    return df.select("id").collect()
+
+
+@pytest.mark.parametrize("limit", [0, 2**28])
+def test_lexicon_of_any_size_gives_the_same_means(spark, limit):
+    docs = spark.createDataFrame(
+        [(i, ["hot"] * (i % 4) + [f"w{i % 7}", "unknown"] * (i % 3)) for i in range(300)] + [(301, []), (302, None), (303, ["unknown"])], "doc_id long, words array<string>"
+    )
+    lexicon = spark.createDataFrame([("hot", [1.0, 2.0])] + [(f"w{j}", [float(j), -1.0]) for j in range(7)], "word string, vector array<double>")
+    known = {r["word"]: np.array(r["vector"]) for r in lexicon.collect()}
+    got = embeddings.pretrained_doc_vectors(docs, lexicon, 2, broadcast_limit=limit, heavy_words=2)
+    found = {r["doc_id"]: r["features"].toArray() for r in got.collect()}
+    for row in docs.collect():
+        hits = [known[w] for w in row["words"] or [] if w in known]
+        assert np.allclose(found[row["doc_id"]], np.mean(hits, axis=0) if hits else np.zeros(2))
+    assert len(found) == docs.count()
+    if limit == 0:
+        assert {r["word"] for r in embeddings.heavy_hitters(docs.select(F.explode("words").alias("word")), "word", 1).collect()} <= {"hot", "unknown"}

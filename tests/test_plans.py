@@ -15,9 +15,11 @@ from workload.fixtures import documents
 ROOT = pathlib.Path(__file__).resolve().parent.parent
 # Each of these actions brings a bounded number of rows to the driver.
 BOUNDED_ACTIONS = {
+    "csv_records.py": 1,  # a number for a range of a file at most
     "features.py": 1,  # vocabulary, at most vocab_size terms
     "imbalance.py": 2,  # one threshold; one row of counts before and one after
-    "neighbors.py": 1,  # a sample of at most SAMPLE points
+    "neighbors.py": 5,  # a sample, the probes and a block of points, all of bounded size; one number; a pandas head
+    "tuning.py": 2,  # the fold numbers; a mean per candidate
     "sampling.py": 3,  # sizes of at most three classes; one vector; one number
 }
 LAZY = [

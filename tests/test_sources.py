@@ -129,6 +129,44 @@ def test_present_and_absent(spark):
     assert len(built) == 1
 
 
+def test_result_is_built_again_when_an_input_changes(spark, tmp_path):
+    source, target, built = tmp_path / "in.txt", str(tmp_path / "out"), []
+    source.write_text("a")
+
+    def build():
+        built.append(1)
+        return spark.read.text(str(source))
+
+    def value():
+        return [r["value"] for r in readers.load_or_build(spark, target, build, inputs=[str(source)]).collect()]
+
+    assert value() == value() == ["a"] and len(built) == 1
+    source.write_text("changed")
+    assert value() == value() == ["changed"] and len(built) == 2
+    assert readers.load_or_build(spark, target, build, inputs=[str(source)], version="2").count() == 1 and len(built) == 3
+    missing = [str(tmp_path / "not-there")]
+    assert readers.input_fingerprint(spark, missing) == readers.input_fingerprint(spark, missing)
+
+
+def test_crashed_writer_leaves_no_result(spark, tmp_path):
+    """A writer that dies leaves the old table; a folder without a mark, or with another's, is built again."""
+    target = str(tmp_path / "out")
+
+    def dies():
+        return spark.range(100).select(F.raise_error(F.lit("dead")).cast("long").alias("v"))
+
+    with pytest.raises(Exception, match="dead"):
+        readers.load_or_build(spark, target, dies)
+    assert not (tmp_path / "out").exists()
+    assert readers.load_or_build(spark, target, lambda: spark.range(3)).count() == 3
+    with pytest.raises(Exception, match="dead"):
+        readers.load_or_build(spark, target, dies, version="2")
+    assert readers.load_or_build(spark, target, dies).count() == 3  # the old result is still whole
+    half = str(tmp_path / "half")
+    spark.range(5).write.json(half)  # as a writer without publishing would leave it
+    assert readers.load_or_build(spark, half, lambda: spark.range(2)).count() == 2
+
+
 def test_shared_folder(spark):
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder

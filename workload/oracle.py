@@ -293,6 +293,7 @@ def statements() -> dict[str, str]:
             "texts",
         ),
         "binary_label": _with("SELECT doc_id, CAST(Sentiment = 'positive' AS INTEGER) AS label FROM texts", "texts"),
+        "stable_split": _murmur_split(),
         "stable_split_md5": _with("SELECT doc_id, split_key, split FROM sided", "sided"),
         "random_split": """SELECT doc_id, CAST(('0x' || substr(md5('42|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 >= 0.8 AS INTEGER)
             AS part FROM documents""",
@@ -471,6 +472,29 @@ def statements() -> dict[str, str]:
             GROUP BY doc_id, place""",
             "clean_words",
         ),
+        "batch_encode_truncated": _with(
+            """SELECT doc_id, CAST(place AS INTEGER) AS place, CAST(count(word) AS DOUBLE) AS value
+            FROM (SELECT doc_id, place FROM documents, range(16) r(place)) LEFT JOIN
+                 (SELECT doc_id, word, ('0x' || substr(md5(word), 1, 8))::BIGINT % 16 AS place
+                  FROM (SELECT doc_id, unnest(words[1:128]) AS word FROM clean_words)) USING (doc_id, place)
+            GROUP BY doc_id, place""",
+            "clean_words",
+        ),
+        "dictionary_labels": """SELECT doc_id, source, CAST(id AS DOUBLE) AS label FROM documents JOIN
+            (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS id FROM documents WHERE source IS NOT NULL GROUP BY source)
+            USING (source)""",
+        "dictionary_terms": _with(
+            """SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS df, row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS id
+            FROM kept_terms GROUP BY term HAVING count(*) >= 2""",
+            "kept_terms",
+        ),
+        "dictionary_tfidf": _with(
+            """SELECT doc_id, CAST(id AS INTEGER) AS id, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS value
+            FROM documents LEFT JOIN (SELECT doc_id, tf, id, df FROM kept_terms JOIN (
+              SELECT term, count(*) AS df, row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS id
+              FROM kept_terms GROUP BY term HAVING count(*) >= 2) USING (term)) USING (doc_id)""",
+            "kept_terms",
+        ),
         "array_vector_convert": """SELECT vec_id, CAST(i - 1 AS INTEGER) AS place, round(CAST(embedding[i] AS DOUBLE), 6) AS value
             FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""",
         "positive_probability": _with("SELECT event_id, round(score / (score + 5.0), 6) AS pos_prob FROM scores", "scores"),
@@ -501,6 +525,54 @@ def statements() -> dict[str, str]:
     return sql | model_rows()
 
 
+# --- murmur3 -------------------------------------------------------------------------------------
+
+MASK = "4294967295"
+
+
+def _times(a: str, constant: int) -> str:
+    """The low 32 bits of a product, without leaving 64 bits."""
+    return f"((({a}) * {constant & 65535} + ((({a}) * {constant >> 16}) & 65535) * 65536) & {MASK})"
+
+
+def _turned(a: str, bits: int) -> str:
+    return f"((({a} << {bits}) | ({a} >> {32 - bits})) & {MASK})"
+
+
+def _folded(seed: str, words: str, size: str) -> str:
+    """Murmur3 over a list of 32-bit words, ended by the number of bytes they stand for."""
+    mixed = f"list_transform({words}, lambda k: {_times('k', 0xCC9E2D51)})"
+    mixed = f"list_transform({mixed}, lambda k: {_times(_turned('k', 15), 0x1B873593)})"
+    state = f"list_reduce(list_prepend({seed}, {mixed}), lambda h, k: ({_turned('xor(h, k)', 13)} * 5 + {0xE6546B64}) & {MASK})"
+    end = f"xor({state}, {size})"
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        end = f"list_transform([{end}], lambda h: {_times(f'xor(h, h >> {shift})', factor)})[1]"
+    return f"list_transform([{end}], lambda h: xor(h, h >> 16))[1]"
+
+
+def _murmur_split() -> str:
+    """Spark's hash of a text and a double: whole words of four bytes, then single signed bytes; a double by its bits."""
+    byte = "('0x' || substr(x, {}, 2))::BIGINT"
+    word = " + ".join(f"({byte.format(f'8 * i + {2 * b + 1}')} << {8 * b})" for b in range(4))
+    tail = byte.format("2 * i + 1")
+    words = f"""list_concat(list_transform(range(0, length(x) // 8), lambda i: {word}),
+        list_transform(range(length(x) // 8 * 4, length(x) // 2), lambda i: {tail} + CASE WHEN {tail} > 127 THEN 4294967040 ELSE 0 END))"""
+    return _with(
+        f"""SELECT doc_id, CAST(abs(CASE WHEN h > 2147483647 THEN h - 4294967296 ELSE h END) % 100 AS INTEGER) AS split_key,
+        CASE WHEN abs(CASE WHEN h > 2147483647 THEN h - 4294967296 ELSE h END) % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM hashed""",
+        "labelled",
+        extra={
+            "hexed": """SELECT doc_id, hex(encode(Review)) AS x, Rating AS r, CASE WHEN Rating <> 0 THEN floor(log2(abs(Rating)))::BIGINT END AS e
+              FROM labelled""",
+            "bits": """SELECT doc_id, x, CASE WHEN r = 0 THEN 0 ELSE CASE WHEN r < 0 THEN 2147483648 ELSE 0 END + ((e + 1023) << 20)
+              + (((abs(r) / power(2.0, e) - 1) * 4503599627370496)::BIGINT >> 32) END AS high,
+              CASE WHEN r = 0 THEN 0 ELSE ((abs(r) / power(2.0, e) - 1) * 4503599627370496)::BIGINT & 4294967295 END AS low FROM hexed""",
+            "texts_hashed": f"SELECT doc_id, low, high, {_folded('42', words, 'length(x) // 2')} AS t FROM bits",
+            "hashed": f"SELECT doc_id, {_folded('t', '[low, high]', '8')} AS h FROM texts_hashed",
+        },
+    )
+
+
 # --- models on three small counts ----------------------------------------------------------------
 
 CTES["counted"] = r"""SELECT *, n / (2.0::DOUBLE * count(*) OVER (PARTITION BY label)) AS w,
@@ -648,5 +720,5 @@ def model_rows() -> dict[str, str]:
             ('0x' || substr(md5(Review || '|' || CAST(Rating AS VARCHAR)), 1, 8))::BIGINT % 100 AS side FROM cleaned"""
         },
     )
-    sql["load_or_build"] = _with("SELECT Sentiment, count(*) AS n, 1 AS built FROM labelled GROUP BY Sentiment", "labelled")
+    sql["load_or_build"] = _with("SELECT Sentiment, count(*) AS n, 2 AS built FROM labelled GROUP BY Sentiment", "labelled")
     return sql

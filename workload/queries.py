@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from reviewlens.functions import text as tx
 from reviewlens.functions import vectors as vec
 from reviewlens.functions.vectors import sparse_entries, to_array, to_vector
-from reviewlens.operators import cleaning, compare, embeddings, features, imbalance, keywords, labels
+from reviewlens.operators import cleaning, compare, dictionary, embeddings, features, imbalance, keywords, labels
 from reviewlens.operators import metrics, models, payload, ranking, sampling, splits, stats, thresholds, tuning
 from reviewlens.session import scratch_path, stage
 from reviewlens.sources import readers, writers
@@ -482,6 +482,34 @@ def index_label(spark, sf):
     return indexed.select("doc_id", "source", "label")
 
 
+@query
+def dictionary_labels(spark, sf):
+    sources = fx.documents(spark, sf).select("doc_id", "source")
+    return dictionary.index_by(sources, "source", dictionary.label_dictionary(sources, "source"))
+
+
+def _kept_tokens(spark, sf) -> DataFrame:
+    stages = features.tokenizer_stages("text", "letters")
+    tokens = features._through(fx.documents(spark, sf).select("doc_id", "text"), stages)
+    return tokens.select("doc_id", tx.remove_stopwords(F.col("tokens"), tx.english_stopwords()).alias("tokens"))
+
+
+@query
+def dictionary_terms(spark, sf):
+    return dictionary.term_dictionary(_kept_tokens(spark, sf), "doc_id", "tokens")
+
+
+@query
+def dictionary_tfidf(spark, sf):
+    """Vectors over all terms that occur twice, none of which the driver sees."""
+    tokens = stage(_kept_tokens(spark, sf), "tokens")
+    terms = dictionary.term_dictionary(tokens, "doc_id", "tokens")
+    size, rows = (df.agg(F.count(F.lit(1)).alias("n")).first()["n"] for df in (terms, tokens))
+    vectors = dictionary.dictionary_vectors(tokens, "doc_id", "tokens", terms, size, rows)
+    entries = sparse_entries(vectors, "features", ["doc_id"]).select("doc_id", F.inline_outer(F.arrays_zip("indices", "values")))
+    return rounded(entries.select("doc_id", F.col("indices").alias("id"), F.col("values").alias("value")), "value")
+
+
 def _vector_terms(df: DataFrame, vector: str, vocabulary: list[str], key: str) -> DataFrame:
     """``(key, term, value)`` of the entries of a vector column."""
     entries = sparse_entries(df, vector, [key]).select(key, F.inline(F.arrays_zip("indices", "values")))
@@ -575,6 +603,15 @@ def batch_encode_text(spark, sf):
     return encoded.select("doc_id", values)
 
 
+@query
+def batch_encode_truncated(spark, sf):
+    """The encoder reads 128 words of a text, in batches of 512 padded words."""
+    encoded = embeddings.batch_encode_text(
+        fx.documents(spark, sf), embeddings.hashing_encoder(16), "text", token_budget=512, max_tokens=128
+    )
+    return encoded.select("doc_id", F.posexplode(to_array(F.col("features"))).alias("place", "value"))
+
+
 @query
 def array_vector_convert(spark, sf):
     vectors = fx.table(spark, sf, "embeddings").select("vec_id", to_vector(F.col("embedding")).alias("v"))
@@ -864,12 +901,14 @@ def baseline_flow(spark, sf):
 
 @query
 def load_or_build(spark, sf):
-    """A table that is built once and read from its file the second time."""
+    """A table that is built once, read from its file the second time, and built again for another version."""
     path, built = scratch_path(spark, "class-counts"), []
+    inputs = [f"{sf}/{name}.parquet" for name in ("documents", "labels")]
 
     def build():
         built.append(1)
         return stats.class_counts(fx.labelled(spark, sf))
 
-    readers.load_or_build(spark, path, build)
-    return readers.load_or_build(spark, path, build).withColumn("built", F.lit(len(built)))
+    for version in ("1", "1", "2"):
+        table = readers.load_or_build(spark, path, build, inputs=inputs, version=version)
+    return table.withColumn("built", F.lit(len(built)))
