@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.llm.columns import free_names, without, word_array
 from reviewlens.session import stage
 
-#: Parts into which the documents of each source are dealt by a seeded hash.
-SHARDS = 256
-#: Blocks in the target of the smallest source, at least: how fine the apportionment is.
+#: Documents of a shard, about: sources are dealt to as many shards as their documents need.
+SHARD_DOCS = 4096
+#: Blocks in the smallest target of a shard, at least: how fine the apportionment is.
 FINENESS = 256
-#: Documents that fill what the first ones of a source leave missing, at most.
-FILLS = 3
+#: Bound on the table of sums that a shard's exact selection needs.
+SUMS_BYTES = 16 * 2**20
+#: Divisors that are tried in one job.
+DIVISORS = 48
 RESULT = ("size", "source_size", "target", "taken")
-_SPACE = r"\x20\x09-\x0D"
 
 
 def targets(sources: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -48,25 +51,114 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, most: fl
     )
 
 
-def apportion(sources: DataFrame, block: float, seats: int) -> DataFrame:
-    """``sources`` (source, target) with ``seats``: the blocks that go to the highest quotients target/(2j+1).
+def apportion(parties: DataFrame, block: float, seats: int, keys: Sequence[str] = ("source",)) -> DataFrame:
+    """``parties`` (with ``target``) and ``seats``: the blocks that go to the highest quotients target/(2j+1).
 
-    A source's number of seats differs from target/block by less than the number of sources, so only that
-    many quotients around it compete; those below are won in any case.
+    These are the targets over a common divisor, rounded, for the divisor at which they add up to ``seats``. It is
+    searched from ``block`` on, by aggregates over many divisors at once; no quotients are listed. Where a tie
+    leaves no such divisor, the last seats go to the first of the tied parties in the order of ``keys``.
     """
-    around = sources.count() + 2
-    wins = F.col("target") / F.lit(float(block))
-    fixed = F.greatest(F.floor(wins) - around, F.lit(0)).cast("long")
-    open_seats = sources.withColumn("fixed", fixed).withColumn(
-        "seat", F.explode(F.sequence(F.col("fixed"), F.floor(wins).cast("long") + around))
-    )
-    missing = seats - (sources.select(F.sum(fixed)).first()[0] or 0)
-    quotient = (F.col("target") / (2 * F.col("seat") + 1)).alias("quotient")
-    best = open_seats.filter("target > 0").select("source", quotient).orderBy(F.desc("quotient"), F.col("source").asc_nulls_last()).limit(max(missing, 0))
-    won = best.groupBy(F.col("source").alias("winner")).agg(F.count("*").alias("won"))
-    return sources.withColumn("fixed", fixed).join(won, F.col("source").eqNullSafe(F.col("winner")), "left").select(
-        *sources.columns, (F.col("fixed") + F.coalesce("won", F.lit(0))).alias("seats")
-    )
+
+    def rounded(divisor: float):
+        return F.floor(F.col("target") / F.lit(divisor) + 0.5).cast("long")
+
+    def totals(divisors: Sequence[float]) -> list[int]:
+        return [n or 0 for n in parties.agg(*(F.sum(rounded(d)) for d in divisors)).first()]
+
+    low, high = float(block), float(block)  # at least, and at most, as many seats as wanted
+    (total,) = totals([block])
+    while total < seats and low > 1e-300:
+        low /= 2
+        (total,) = totals([low])
+    while total > seats:
+        high *= 2
+        (total,) = totals([high])
+    low = min(low, high)
+    (many, few) = totals([low, high])
+    while many != seats and few != seats:
+        between = [d for d in np.linspace(low, high, DIVISORS + 2)[1:-1].tolist() if low < d < high]
+        if not between:
+            break
+        found = dict(zip(between, totals(between)))
+        low = max([low, *(d for d, n in found.items() if n >= seats)])
+        high = min([high, *(d for d, n in found.items() if n <= seats)])
+        many, few = found.get(low, many), found.get(high, few)
+    if many == seats or few == seats:
+        return parties.withColumn("seats", rounded(low if many == seats else high))
+    tied = parties.withColumns({"_seats": rounded(high), "_more": rounded(low) - rounded(high)}).filter("_more > 0")
+    quotient = F.desc(F.col("target") / (2 * F.col("_seats") + 1))
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    last = tied.orderBy(quotient, *order).limit(max(seats - few, 0)).select(*(F.col(k).alias(f"_{k}") for k in keys), F.lit(1).alias("_one"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    joined = parties.join(last, same, "left").withColumn("seats", rounded(high) + F.coalesce("_one", F.lit(0)))
+    return joined.select(*parties.columns, "seats")
+
+
+def _nearest_sum(sizes: list[int], quota: int) -> np.ndarray:
+    """The documents whose sizes add up as near to ``quota`` as possible; of two sums equally near, the smaller one."""
+    reached = [1]  # bit s: some of the documents so far add up to s
+    for size in sizes:
+        reached.append(reached[-1] | reached[-1] << size)
+    below = (reached[-1] & ((1 << (quota + 1)) - 1)).bit_length() - 1
+    above = reached[-1] >> (quota + 1)
+    upper = quota + (above & -above).bit_length() if above else None
+    left = upper if upper is not None and upper - quota < quota - below else below
+    taken = np.zeros(len(sizes), bool)
+    for i in range(len(sizes) - 1, -1, -1):
+        if not reached[i] >> left & 1:
+            taken[i] = True
+            left -= sizes[i]
+    return taken
+
+
+def fill_quota(sizes: np.ndarray, quota: int) -> np.ndarray:
+    """Which of the documents, in order, are taken so that their sizes come near ``quota``.
+
+    Where the table of all reachable sums fits ``SUMS_BYTES``, the sum is the nearest there is, from documents as early
+    as possible. Larger shards have so many documents that steps do: each document that still fits is taken, then
+    the one document is added, left out, or exchanged for another that brings the sum nearest to the quota,
+    until none brings it nearer.
+    """
+    if len(sizes) * int(sizes.sum()) <= 8 * SUMS_BYTES:
+        return _nearest_sum(sizes.tolist(), quota)
+    taken = np.zeros(len(sizes), bool)
+    left = quota
+    for i, size in enumerate(sizes.tolist()):
+        if 0 < size <= left:
+            taken[i] = True
+            left -= size
+    while left:
+        inside, outside = np.flatnonzero(taken), np.flatnonzero(~taken & (sizes > 0))
+        # Sizes that can go out (none, or a document's) against those that can come in, the nearest by bisection.
+        out, come = np.concatenate(([0], sizes[inside])), np.concatenate(([0], sizes[outside]))
+        order = np.argsort(come, kind="stable")
+        wanted = out + left
+        place = np.searchsorted(come[order], wanted)
+        best = None
+        for near in (np.clip(place, 0, len(come) - 1), np.clip(place - 1, 0, len(come) - 1)):
+            miss = np.abs(wanted - come[order][near])
+            i = int(np.argmin(miss))
+            if best is None or miss[i] < best[0]:
+                best = (int(miss[i]), i, int(order[near[i]]))
+        if best[0] >= abs(left):
+            break
+        _, goes, comes = best
+        if goes:
+            taken[inside[goes - 1]] = False
+        if comes:
+            taken[outside[comes - 1]] = True
+        left = quota - int(sizes[taken].sum())
+    return taken
+
+
+def _select(shard: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one shard of a source, and how often each is taken."""
+    shard = shard.sort_values(["order", "tie", "size"], kind="stable")
+    words = shard["size"].to_numpy() * shard["copies"].to_numpy()
+    quota, total = int(shard["quota"].iloc[0]), int(words.sum())
+    times = quota // total if total else 0
+    once = fill_quota(words, quota - times * total) if total else np.zeros(len(words), bool)
+    return shard[["source", "order", "tie", "size"]].assign(times=times + once)
 
 
 def mix_sources(
@@ -81,104 +173,74 @@ def mix_sources(
 ) -> DataFrame:
     """``docs`` with ``size`` (words), ``source_size``, ``target`` (of the source) and ``taken`` (words).
 
-    Targets come from ``targets``. All targets are cut into equal blocks, so small that the least positive
-    target has ``FINENESS``; ``apportion`` gives each source whole blocks by highest quotients. Only whole
-    documents are taken, so ``taken`` is a multiple of ``size``: all of a source as often as its words allow, and
-    of the rest those that come first in a seeded order and fit into it. What is then missing is filled with the
-    later document whose size is nearest to it, ``FILLS`` times or until none comes nearer; a source misses its
-    blocks by less than one document. No document exceeds ``most`` times its size, and reruns agree.
+    Targets come from ``targets``. A source's documents are dealt by a seeded hash to shards of about ``SHARD_DOCS``,
+    and its target to its shards by their words. All targets are cut into equal blocks, so small that the least
+    one has ``FINENESS``; ``apportion`` gives each shard of each source whole blocks by highest quotients: its quota.
+    In a shard all documents are taken as often as the quota holds the whole shard, and for the rest of it whole
+    documents in the order of the hash, see ``fill_quota``; ``taken`` is a multiple of ``size``. A shard misses its
+    quota by less than its smallest document that is left. No document exceeds ``most`` times its size, and reruns agree.
 
-    Documents are dealt by the hash to shards, in which their running sums are made; sums of shards are small.
+    Words are counted once; hashes and sizes are dealt, texts are not.
 
-    Null text has no words; a null source is a source, the last one. Rows that repeat an id follow one another
-    and are taken like other rows. Columns of the same names are replaced. An empty table gives an empty result.
+    Null text has no words; a null source is a source, the last one. Rows that repeat an id are documents of their
+    own; those that repeat id and text are taken together. Columns of the same names are replaced. An empty
+    table gives an empty result.
     """
     docs = without(docs, *RESULT)
-    shard, order, start = free_names(docs, "shard", "order", "start")
-    key = F.xxhash64(F.lit(seed), F.col(id_col))
-    sized = docs.withColumn("size", F.size(word_array(F.col(text_col))).cast("long"))
-    sized = sized.withColumn(shard, F.pmod(key, F.lit(SHARDS)).cast("int")).withColumn(order, key)
-
-    cells = stage(
-        sized.groupBy(F.col(source_col).alias("source"), F.col(shard).alias("shard")).agg(F.sum("size").alias("cell_size")), "cells"
+    order, tie = free_names(docs, "order", "tie")
+    keyed = docs.withColumns({order: F.xxhash64(F.lit(seed), F.col(id_col)), tie: F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    sized = keyed.select(
+        F.col(source_col).alias("source"), F.col(order).alias("order"), F.col(tie).alias("tie"),
+        F.size(word_array(F.col(text_col))).cast("long").alias("size"),
     )
-    sources = stage(targets(cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")), weights, share, most), "sources")
-    whole, least = sources.filter("target > 0").agg(F.sum("target"), F.min("target")).first()
-    block = max(1.0, (least or 1.0) / FINENESS)
-    quotas = apportion(sources, block, round((whole or 0.0) / block))
-    quotas = quotas.withColumn("words", F.least(F.col("seats") * block, F.col("cap")))
-    line = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    most_words = F.col("source_size") * int(most)
-    words = F.least(F.floor("words").cast("long"), most_words)
-    times = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0).cast("long")
-    dealt = stage(
-        cells.withColumnRenamed("source", "of")
-        .join(quotas, F.col("of").eqNullSafe(F.col("source")))
-        .withColumn("ahead", F.sum("cell_size").over(line) - F.col("cell_size"))
-        .withColumn("times", times)
-        .withColumn("rest", words - F.col("times") * F.col("source_size"))
-        .select("source", "shard", "source_size", "target", "ahead", "times", "rest"),
-        "quotas",
-    )
-    quotas = dealt.toDF(*free_names(sized, *(f"cell_{c}" for c in dealt.columns)))
-    return _take(sized, quotas, docs.columns, source_col, shard, order, start, id_col)
-
-
-def _take(sized, quotas, columns, source_col, shard, order, start, id_col) -> DataFrame:
-    q_source, q_shard, q_source_size, q_target, q_ahead, q_times, q_rest = quotas.columns
-    line = Window.partitionBy(source_col, shard).orderBy(order, id_col, "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = sized.withColumn(start, F.sum("size").over(line) - F.col("size"))
-    same = F.col(source_col).eqNullSafe(F.col(q_source)) & (F.col(shard) == F.col(q_shard))
-    # From here on, ``start`` is the place in the whole source, which only one of its documents with words has.
-    placed = placed.join(quotas, same).withColumn(start, F.col(start) + F.col(q_ahead))
-
-    slim = placed.select(F.col(q_source).alias("source"), F.col(start).alias("start"), "size", F.col(q_rest).alias("rest"))
-    places = stage(slim.filter("size > 0 and rest > 0"), "places")
-    gaps = stage(
-        places.groupBy("source").agg(
-            (F.first("rest") - F.coalesce(F.sum(F.when(F.expr("start + size <= rest"), F.col("size"))), F.lit(0))).alias("gap"),
-        ).withColumn("fills", F.expr("cast(array() as array<bigint>)")),
-        "gaps",
+    sized = stage(sized.groupBy("source", "order", "tie", "size").agg(F.count("*").alias("copies")), "sizes")
+
+    totals = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("docs"))
+    totals = stage(totals, "totals")
+    sources = targets(totals.select("source", "source_size"), weights, share, most)
+    sources = stage(sources.alias("s").join(totals.alias("t"), F.expr("s.source <=> t.source")).select("s.*", "docs"), "sources")
+    of = sources.select(F.col("source").alias("of"), F.ceil(F.col("docs") / SHARD_DOCS).alias("shards"), "source_size", "target")
+    dealt = sized.join(of, F.col("source").eqNullSafe(F.col("of"))).withColumn("shard", F.pmod(F.xxhash64("order", "tie"), "shards"))
+    cells = dealt.groupBy("source", "shard").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("whole")
     )
-    for _ in range(FILLS):
-        gaps = stage(_filled(gaps, places), "gaps")
-    of, gap, fills = free_names(placed, "of", "gap", "fills")
-    chosen = placed.join(gaps.toDF(of, gap, fills), F.col(q_source).eqNullSafe(F.col(of)), "left")
-    once = (F.col("size") > 0) & ((F.col(start) + F.col("size") <= F.col(q_rest)) | F.coalesce(F.array_contains(fills, F.col(start)), F.lit(False)))
-    return chosen.select(
-        *(F.col(f"`{c}`") for c in columns),
-        "size",
-        F.col(q_source_size).alias("source_size"),
-        F.col(q_target).alias("target"),
-        ((F.col(q_times) + F.when(once, 1).otherwise(0)) * F.col("size")).cast("long").alias("taken"),
+    goal = F.when(F.col("source_size") > 0, F.col("whole") * F.col("words") / F.col("source_size")).otherwise(0.0)
+    cells = stage(cells.select("source", "shard", "words", goal.alias("target")), "cells")
+    whole, least = cells.filter("target > 0").agg(F.sum("target"), F.min("target")).first()
+    block = max(1.0, (least or 1.0) / FINENESS)
+    quotas = apportion(cells, block, round((whole or 0.0) / block), ("source", "shard"))
+    quota = F.least(F.round(F.col("seats") * block).cast("long"), F.col("words") * int(most))
+    quotas = stage(quotas.select(F.col("source").alias("of_source"), F.col("shard").alias("of_shard"), quota.alias("quota")), "quotas")
+
+    same = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("shard") == F.col("of_shard"))
+    chosen = dealt.join(quotas, same).select("source", "shard", "order", "tie", "size", "copies", "quota")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sized.select("source", "order", "tie", "size").schema)
+    chosen = chosen.groupBy("source", "shard").applyInPandas(_select, f"{kinds}, times long")
+    figures = sources.select(F.col("source").alias("of"), "source_size", "target")
+    chosen = stage(chosen.join(figures, F.col("source").eqNullSafe(F.col("of"))).drop("of"), "chosen")
+
+    names = dict(zip(chosen.columns, free_names(keyed, *(f"chosen_{c}" for c in chosen.columns))))
+    chosen = chosen.withColumnsRenamed(names)
+    found = keyed.join(
+        chosen,
+        (F.col(order) == F.col(names["order"])) & (F.col(tie) == F.col(names["tie"])) & F.col(source_col).eqNullSafe(F.col(names["source"])),
     )
-
-
-def _filled(gaps: DataFrame, places: DataFrame) -> DataFrame:
-    """``gaps`` (source, gap, ``fills``: starts of documents taken for it) with the document that comes nearest to each."""
-    left = places.filter("start + size > rest").join(gaps.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-    open_ = left.filter("abs(size - gap) < abs(gap)").filter(~F.array_contains("fills", F.col("start")))
-    best = open_.groupBy(F.col("source").alias("of")).agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("miss"), "start", "size")).alias("best"))
-    return gaps.join(best, F.col("source").eqNullSafe(F.col("of")), "left").select(
-        "source",
-        (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
-        F.when(F.col("best").isNull(), F.col("fills")).otherwise(F.array_append("fills", F.col("best.start"))).alias("fills"),
+    size = F.col(names["size"])
+    return found.select(
+        *(F.col(f"`{c}`") for c in docs.columns),
+        size.alias("size"),
+        F.col(names["source_size"]).alias("source_size"),
+        F.col(names["target"]).alias("target"),
+        (F.col(names["times"]) * size).alias("taken"),
     )
 
 
-def mixed_rows(mixed: DataFrame, text_col: str = "text") -> DataFrame:
+def mixed_rows(mixed: DataFrame) -> DataFrame:
     """The mixture itself: a row for each time a document is taken, without the columns of ``mix_sources``.
 
-    A document is repeated ``taken / size`` times, which is whole for rows of ``mix_sources``; of what is left
-    over in others, one row has the first words of the text, with their white space. Documents of which nothing is taken have no row.
+    A document is repeated ``taken / size`` times, which is whole for rows of ``mix_sources``. Documents of which
+    nothing is taken have no row.
     """
     (copy,) = free_names(mixed, "copy")
-    size = F.greatest(F.col("size"), F.lit(1))
-    whole, rest = F.floor(F.col("taken") / size), F.col("taken") % size
-    copies = (whole + F.when(rest > 0, 1).otherwise(0)).cast("int")
-    rows = mixed.filter("taken > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), copies)))
-    # Every piece but a last one of white space alone is the white space before a word, and the word.
-    upto = F.split(F.col(text_col), f"(?<=[^{_SPACE}])(?=[{_SPACE}])")
-    cut = F.array_join(F.slice(upto, 1, rest.cast("int")), "")
-    text = F.when(F.col(copy) <= whole, F.col(text_col)).otherwise(cut)
-    return rows.withColumn(text_col, text).drop(copy, *RESULT)
+    copies = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
+    return mixed.filter("taken > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).drop(copy, *RESULT)

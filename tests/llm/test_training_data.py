@@ -215,9 +215,66 @@ def test_mixing_edges(spark):
     assert mixing.mix_sources(nothing).filter("taken != 0 or target != 0").count() == 0
 
 
-def test_cut_text_keeps_its_white_space(spark):
-    frame = spark.createDataFrame([(1, "  one\ttwo\n\nthree four  ", 4, 4, 0.0, 6)], "doc_id long, text string, size long, source_size long, target double, taken long")
-    assert rows(mixing.mixed_rows(frame), "doc_id", "text") == [(1, "  one\ttwo"), (1, "  one\ttwo\n\nthree four  ")]
+def test_tied_quotients_go_by_name(spark):
+    frame = spark.createDataFrame([(f"s{i}", 5.0) for i in range(7)] + [("z", 0.0)], "source string, target double")
+    got = {r["source"]: r["seats"] for r in mixing.apportion(frame, 1.0, 17).collect()}
+    assert got == {"s0": 3, "s1": 3, "s2": 3, "s3": 2, "s4": 2, "s5": 2, "s6": 2, "z": 0}
+
+
+def test_many_sources_cost_no_pairs(spark):
+    """5,000 sources: the divisor is found by aggregates, and every seat is there."""
+    frame = spark.range(5000).select(F.col("id").cast("string").alias("source"), (F.pow(F.col("id") + 1.0, 1.5)).alias("target"))
+    whole = frame.agg(F.sum("target")).first()[0]
+    seats = mixing.apportion(frame, whole / 123_457, 123_457)
+    assert seats.agg(F.sum("seats")).first()[0] == 123_457
+    assert seats.filter(F.abs(F.col("seats") - F.col("target") * 123_457 / whole) > 1).count() == 0
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_quota_is_filled(monkeypatch, exact):
+    monkeypatch.setattr(mixing, "SUMS_BYTES", 2**24 if exact else 0)
+    pick = random.Random(4)
+    for n in (0, 1, 2, 5, 12, 300):
+        sizes = np.array([pick.choice([0, 1, pick.randrange(1, 400), 5000]) for _ in range(n)], np.int64)
+        for quota in (0, min(1, int(sizes.sum())), int(sizes.sum()) // 3, int(sizes.sum())):
+            taken = mixing.fill_quota(sizes, quota)
+            gap = abs(quota - int(sizes[taken].sum()))
+            assert not sizes[taken & (sizes == 0)].size
+            if exact and n <= 12:
+                sums = {0}
+                for size in sizes.tolist():
+                    sums |= {x + size for x in sums}
+                assert gap == min(abs(quota - x) for x in sums)
+            left = sizes[~taken & (sizes > 0)]
+            assert gap <= (left.min() if left.size else 0) or sizes[taken].sum() > quota
+
+
+def test_plain_selection(spark):
+    """Every shard's documents against a plain version of the selection, over several shards of a source."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    keyed = docs.withColumns({"order": F.xxhash64(F.lit(0), "doc_id"), "tie": F.xxhash64("text"), "size": F.size(mixing.word_array(F.col("text"))).cast("long")})
+    mixed = mixing.mix_sources(docs)
+    shards = {}
+    for r in keyed.join(mixed.select("doc_id", "taken", "source_size", "target"), "doc_id").collect():
+        shards.setdefault(r["source"], []).append((r["order"], r["tie"], r["size"], r["taken"], r["source_size"], r["target"]))
+    block = max(1.0, min(found[0][5] for found in shards.values()) / mixing.FINENESS)
+    for found in shards.values():
+        found.sort()
+        sizes, words = [f[2] for f in found], found[0][4]
+        times = sum(f[3] for f in found) // words
+        once = sum(f[3] for f in found) - times * words
+        assert abs(sum(f[3] for f in found) - found[0][5]) <= block + 1
+        plain = mixing._nearest_sum(sizes, once)
+        assert [f[3] for f in found] == [(times + int(p)) * size for p, size in zip(plain, sizes)]
+
+
+def test_shards_of_a_large_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_DOCS", 16)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    mixed = mixing.mix_sources(docs).cache()
+    for r in mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r["taken"] - r["target"]) <= 0.01 * r["target"]
+    assert rows(mixing.mix_sources(docs.repartition(5)), "doc_id", "taken") == rows(mixed, "doc_id", "taken")
 
 
 # Chat
