@@ -13,8 +13,9 @@ from reviewlens.llm.columns import free_names
 from reviewlens.llm.components import connected_components
 from reviewlens.session import stage
 
-#: Edits between linked lines at most, and characters of a line from which on lines are compared by edits.
-DISTANCE, MIN_CHARS = 2, 32
+#: Edits between linked lines at most. Where the shorter line has fewer than ``LONG`` characters, one edit links, and
+#: below ``SHORT`` none does, as a segment would be empty.
+DISTANCE, LONG, SHORT = 2, 32, 3
 #: Members of a block; a bucket with more is compared in pairs of blocks.
 BLOCK = 256
 _TRIM = " \t\r\x0b\x0c"
@@ -139,14 +140,14 @@ def _block_links(distance: int):
 
 
 def line_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, min_chars: int = MIN_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, long_chars: int = LONG
 ) -> DataFrame:
     """One row per distinct line: ``line``, ``doc_id``, ``copies``, ``line_class``, ``class_doc_id``, ``kept``.
 
     Texts are split at line feeds and lines trimmed; blank lines are left out. ``copies`` counts a line's
-    occurrences and ``doc_id`` is the smallest id of a document with it. Lines of ``min_chars`` characters or
-    more are linked when at most ``distance`` edits of single characters turn one into the other; shorter lines
-    are only equal or different. Lines that can be reached over links share ``line_class``, a number of this
+    occurrences and ``doc_id`` is the smallest id of a document with it. Lines are linked when few
+    edits of single characters turn one into the other: at most ``distance`` where the shorter one has ``long_chars``
+    characters or more, else one; lines of one or two characters are only equal or different. Lines that can be reached over links share ``line_class``, a number of this
     run, and ``class_doc_id``, the smallest id of their documents. One line of each class is kept: the one with
     the smallest ``doc_id``, then the first by code point.
 
@@ -166,7 +167,10 @@ def line_classes(
         .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     )
     lines = stage(lines.withColumn("line_id", F.monotonically_increasing_id()), "lines")
-    links = _line_links(lines.select("line_id", "line").filter(F.length("line") >= min_chars), distance)
+    named, chars = lines.select("line_id", "line"), F.length("line")
+    links = _line_links(named.filter(chars >= long_chars), distance)
+    # A line of ``long_chars`` meets those one character shorter here.
+    links = links.unionByName(_line_links(named.filter(chars.between(SHORT, long_chars)), 1))
     components = stage(connected_components(links), "line-classes")
     placed = stage(
         lines.join(components, lines["line_id"] == components["node"], "left").select(

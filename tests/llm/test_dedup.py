@@ -178,7 +178,8 @@ def test_band_is_edit_distance():
 def test_line_classes_are_those_of_all_pairs(spark):
     pick = random.Random(9)
     bases = ["".join(pick.choice("abcde ") for _ in range(pick.randint(30, 60))) for _ in range(30)]
-    lines = sorted({changed(pick, b, pick.randrange(4)).strip() for b in bases for _ in range(12)})
+    bases += ["".join(pick.choice("abcdefghijk ") for _ in range(n)) for n in (1, 2, 3, 4, 7, 12, 20, 30, 31, 32, 33)]
+    lines = sorted({changed(pick, b, pick.randrange(4)).strip() for b in bases for _ in range(12)} - {""})
     docs = spark.createDataFrame([(i, "\n".join(lines[i::10])) for i in range(10)], "doc_id long, text string")
     parent = list(range(len(lines)))
 
@@ -189,7 +190,8 @@ def test_line_classes_are_those_of_all_pairs(spark):
 
     for i, a in enumerate(lines):
         for j in range(i):
-            if min(len(a), len(lines[j])) >= 32 and edits(a, lines[j]) <= 2:
+            shorter = min(len(a), len(lines[j]))
+            if shorter >= 3 and edits(a, lines[j]) <= (2 if shorter >= 32 else 1):
                 parent[root(i)] = root(j)
     expected = {}
     for i, line in enumerate(lines):
