@@ -136,10 +136,13 @@ def _vectors(found: DataFrame) -> DataFrame:
 def fit(labelled: DataFrame, seed: int = 3) -> RandomForestClassificationModel | None:
     """A forest from labelled candidates (``label`` 1: a secret, 0: not); None with fewer than two classes.
 
-    It learns from at most ``SAMPLE_ROWS`` findings, those with the smallest hashes of value and label.
+    It learns from at most ``SAMPLE_ROWS`` different findings, half of each class, those with the smallest hashes: a
+    finding that is repeated without end is one, and the rarer class keeps its half.
     """
-    rows = labelled.filter("label in (0, 1)").select("value", *FEATURES, F.col("label").cast("double").alias("label"))
-    sample = stage(rows.orderBy(F.xxhash64("value", "label"), "value", "label", *FEATURES).limit(SAMPLE_ROWS), "findings")
+    rows = labelled.filter("label in (0, 1)").select("value", *FEATURES, F.col("label").cast("double").alias("label")).distinct()
+    rows = stage(rows, "different-findings")
+    first = [rows.filter(F.col("label") == c).orderBy(F.xxhash64("value", *FEATURES), "value", *FEATURES).limit(SAMPLE_ROWS // 2) for c in (0, 1)]
+    sample = stage(first[0].unionByName(first[1]), "findings")
     if sample.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featuresCol="features", labelCol="label")
@@ -149,10 +152,10 @@ def fit(labelled: DataFrame, seed: int = 3) -> RandomForestClassificationModel |
 def scan(found: DataFrame, model: RandomForestClassificationModel | None, threshold: float = 0.5) -> DataFrame:
     """Candidates with ``score``, the forest's probability of a secret, and ``secret`` from ``threshold`` on.
 
-    Without a model every candidate has score 1: none can be told to be false.
+    Without a model there is no verdict: both are null.
     """
     if model is None:
-        return found.withColumn("score", F.lit(1.0)).withColumn("secret", F.lit(True))
+        return found.withColumn("score", F.lit(None).cast("double")).withColumn("secret", F.lit(None).cast("boolean"))
     scored = model.transform(_vectors(found)).withColumn("score", vector_to_array("probability")[1])
     return scored.drop("features", "rawPrediction", "probability", "prediction").withColumn("secret", F.col("score") >= threshold)
 
@@ -183,7 +186,7 @@ def secret_scan(
 
     Null and empty texts have no candidates; neither has an empty table. Repeated rows give their findings each,
     a null id is kept, and other columns are left out, so their names don't matter. Ties of the forest's vote
-    (0.5) count as secrets.
+    (0.5) count as secrets. Where the labelled findings are of one class, scores and verdicts are null.
     """
     found = stage(candidates(docs, dictionary(docs, text_col), id_col, text_col, path_col), "candidates")
     model = fit(known_findings(found) if labelled is None else labelled)

@@ -211,3 +211,18 @@ def test_canonical_form(spark):
 def test_long_text_is_read_whole(spark):
     found = quality_rules(spark.createDataFrame([(1, LONG)], "doc_id long, text string")).first()
     assert found["n_words"] == 30_000
+
+
+def test_one_finding_repeated_without_end_does_not_fill_the_sample(spark):
+    """20,021 copies of one key beside twenty words: both classes stay in the sample, and the words are no secrets."""
+    key = "token = ghp_" + "a1B2c3D4e5F6" * 3
+    words = " ".join("wonderfulwordswithoutnumbers" + c * 4 for c in "abcdefghijklmnopqrst")
+    docs = spark.range(20_021).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 0, f"{key} {words}").otherwise(key).alias("text"))
+    found = secrets.secret_scan(docs)
+    verdicts = {r["value"][:5]: r["secret"] for r in found.filter("doc_id = 0").collect()}
+    assert verdicts["wonde"] is False and True in verdicts.values()
+
+
+def test_no_verdict_from_one_class(spark):
+    docs = spark.createDataFrame([(1, "token = ghp_" + "a1B2c3D4e5F6" * 3)], "doc_id long, text string")
+    assert [(r["score"], r["secret"]) for r in secrets.secret_scan(docs).collect()] == [(None, None)]
