@@ -86,7 +86,9 @@ WITH p AS (
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages
 ), c AS (SELECT *, {_CANONICAL} AS form FROM p
-), u AS (SELECT max(url) AS url FROM pages GROUP BY regexp_extract(html, '<title>([^<]*)', 1) HAVING count(*) > 1
+), u AS (
+  SELECT url FROM (SELECT url, page_id, min(page_id) OVER (PARTITION BY title) AS first
+    FROM (SELECT *, regexp_extract(html, '<title>([^<]*)', 1) AS title FROM pages) WHERE title <> '') WHERE page_id <> first
 ), listed AS (SELECT DISTINCT form FROM c WHERE url IN (SELECT url FROM u) AND form IS NOT NULL
 ), rules(verdict, h, pre, size) AS (
   SELECT *, length(column1 || column2) FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),

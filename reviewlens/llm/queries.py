@@ -63,11 +63,12 @@ URL_RULES = (
 
 
 def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """The list holds one URL for every title that several pages have: a site's copy of another's page."""
+    """The list holds the URLs of all pages whose title an earlier page has: a site's copies of another's pages."""
     pages = table(spark, sf, "pages")
-    title = F.regexp_extract("html", "<title>([^<]*)", 1).alias("title")
-    copies = pages.groupBy(title).agg(F.count("*").alias("n"), F.max("url").alias("url"))
-    return url_filter(pages.select("page_id", "url"), URL_RULES, copies.filter("n > 1")).drop("url")
+    titled = pages.select("page_id", "url", F.regexp_extract("html", "<title>([^<]*)", 1).alias("title")).filter("title != ''")
+    shared = titled.groupBy("title").agg(F.count("*").alias("n"), F.min("page_id").alias("first")).filter("n > 1")
+    copies = titled.join(shared.select("title", "first"), "title").filter("page_id != first").select("url")
+    return url_filter(pages.select("page_id", "url"), URL_RULES, copies).drop("url")
 
 
 def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
