@@ -168,9 +168,10 @@ def line_classes(
     )
     lines = stage(lines.withColumn("line_id", F.monotonically_increasing_id()), "lines")
     named, chars = lines.select("line_id", "line"), F.length("line")
-    links = _line_links(named.filter(chars >= long_chars), distance)
-    # A line of ``long_chars`` meets those one character shorter here.
-    links = links.unionByName(_line_links(named.filter(chars.between(SHORT, long_chars)), 1))
+    # A line of ``long_chars`` meets those one character shorter among the short ones. Their smaller join comes first, so
+    # that its shuffles are gone when the larger one runs.
+    links = stage(_line_links(named.filter(chars.between(SHORT, long_chars)), 1), "short-links")
+    links = links.unionByName(_line_links(named.filter(chars >= long_chars), distance))
     components = stage(connected_components(links), "line-classes")
     placed = stage(
         lines.join(components, lines["line_id"] == components["node"], "left").select(
