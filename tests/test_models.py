@@ -184,3 +184,16 @@ def test_pseudo_label(spark, sf):
     assert 0 < row["pseudo_positive"] + row["pseudo_negative"] <= train.count() - row["labeled_rows"]
     never = imbalance.pseudo_label(train, test, high=2.0, low=-1.0).first()
     assert never["augmented_rows"] == never["labeled_rows"]
+
+
+def test_tree_rows_are_dealt_by_binned_size(spark):
+    wide = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("double").alias("label")).coalesce(1)
+    rows = wide.withColumn("features", array_to_vector(F.array_repeat(F.col("label"), 50)))
+    # 200 rows of 50 features are 40,000 bytes when binned.
+    dealt = models.dealt_for(models.dt_weighted(), rows, binned_bytes=2000)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 20
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    for same in (models.dealt_for(models.lr_unweighted(), rows, 2000), models.dealt_for(models.gbt_plain(), rows)):
+        assert same is rows
+    assert models.dealt_for(models.gbt_plain(), rows.limit(0), 2000).count() == 0
