@@ -223,3 +223,18 @@ def test_lexicon_of_any_size_gives_the_same_means(spark, limit):
     assert len(found) == docs.count()
     if limit == 0:
         assert {r["word"] for r in embeddings.heavy_hitters(docs.select(F.explode("words").alias("word")), "word", 1).collect()} <= {"hot", "unknown"}
+
+
+def test_blocks_of_documents_get_each_vector_once(spark):
+    docs = spark.createDataFrame(
+        [(i % 40, [f"w{(i * j) % 90}" for j in range(i % 30)]) for i in range(120)] + [(None, ["w1", None, "w2"]), (None, ["w3"]), (77, None)],
+        "doc_id long, words array<string>",
+    )
+    lexicon = spark.createDataFrame([(f"w{j}", [float(j), -1.0]) for j in range(80)], "word string, vector array<float>")
+    far = embeddings.pretrained_doc_vectors(docs, lexicon, 2, broadcast_limit=0, block_words=100)
+    near = embeddings.pretrained_doc_vectors(docs, lexicon, 2)
+    both = [{r["doc_id"]: r["features"].toArray() for r in df.collect()} for df in (far, near)]
+    assert both[0].keys() == both[1].keys() and far.count() == 42
+    assert all(np.allclose(both[0][k], both[1][k], rtol=1e-12) for k in both[1])
+    # The vectors are joined with the words of a block, not with those of each document.
+    assert "Summarizer" not in far._jdf.queryExecution().toString() and "FlatMapCoGroupsInArrow" in far._jdf.queryExecution().toString()
