@@ -238,3 +238,13 @@ def test_blocks_of_documents_get_each_vector_once(spark):
     assert all(np.allclose(both[0][k], both[1][k], rtol=1e-12) for k in both[1])
     # The vectors are joined with the words of a block, not with those of each document.
     assert "Summarizer" not in far._jdf.queryExecution().toString() and "FlatMapCoGroupsInArrow" in far._jdf.queryExecution().toString()
+
+
+def test_encoder_remembers_a_bounded_number_of_words(monkeypatch):
+    monkeypatch.setattr(embeddings, "CACHED_WORDS", 3)
+    encode = embeddings.hashing_encoder(4)()
+    texts = ["a b c d e f g a b"] * 2
+    before = encode(np.array(texts))
+    assert np.array_equal(before, embeddings.hashing_encoder(4)()(np.array(texts))) and before.sum() == 18
+    place = next(c.cell_contents for c in encode.__closure__ if hasattr(c.cell_contents, "cache_info"))
+    assert place.cache_info().currsize == 3
