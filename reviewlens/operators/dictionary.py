@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewlens.functions.vectors import sparse_vectors
-from reviewlens.operators.features import term_counts
 from reviewlens.session import stage
 
 
@@ -28,12 +27,39 @@ def numbered(df: DataFrame, order: list[Column], out: str = "id") -> DataFrame:
     return joined.withColumn(out, F.col("_start") + F.col("_place") - 1).drop("_slice", "_start", "_place")
 
 
+def _counted(tokens: Column) -> Column:
+    """``(term, tf)`` entries of a token list, from the runs of equal tokens of the sorted list."""
+
+    def runs(given: Column) -> Column:
+        size = F.size(given)
+        places = F.sequence(F.lit(0), size - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(given, i) != F.get(given, i - 1)))
+        ends = F.concat(F.slice(starts, 2, size), F.array(size))
+        return F.zip_with(starts, ends, lambda a, b: F.when(a.isNotNull(), F.struct(F.get(given, a).alias("term"), (b - a).cast("long").alias("tf"))))
+
+    # Bound to a variable, the list is sorted once; null tokens are no terms.
+    kept = F.array_sort(F.filter(tokens, lambda t: t.isNotNull()))
+    return F.transform(F.array(kept), lambda given: F.when(F.size(given) > 0, runs(given)))[0]
+
+
+def document_terms(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    """``(key, term, tf)``. Rows that share a key are one.
+
+    Each row counts its own tokens where it is. The counts only move to be added up if keys repeat, which is looked up
+    in the keys alone.
+    """
+    counted = df.select(key, F.inline_outer(_counted(F.col(tokens)))).filter(F.col("term").isNotNull())
+    if df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).isEmpty():
+        return counted
+    return counted.groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+
+
 def term_dictionary(df: DataFrame, key: str, tokens: str, min_df: int = 2, vocab_size: int | None = None) -> DataFrame:
     """``(term, id, n, df)`` of the terms in at least ``min_df`` rows, by falling frequency, ties by term.
 
     The ids are those of a ``CountVectorizer`` vocabulary; ``vocab_size`` keeps the first ones, None all of them.
     """
-    totals = term_counts(df, key, tokens).groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+    totals = document_terms(df, key, tokens).groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
     terms = numbered(totals.filter(F.col("df") >= min_df), [F.desc("n"), F.asc("term")])
     kept = terms if vocab_size is None else terms.filter(F.col("id") < vocab_size)
     return stage(kept.select("term", "id", "n", "df"), "dictionary")
@@ -48,11 +74,10 @@ def dictionary_vectors(
     Tokens are counted per document, joined with the dictionary by term, and put together by one aggregation;
     documents without known terms get an empty vector. Rows that share a key are one document.
     """
-    exploded = df.select(key, F.explode_outer(tokens).alias("term"))
-    counted = exploded.groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    counted = document_terms(df, key, tokens)
     weight = F.lit(1.0) if rows is None else F.log((F.lit(rows) + 1) / (F.col("df") + 1))
-    known = counted.join(dictionary.select("term", "id", "df"), "term", "left").filter("id IS NOT NULL OR term IS NULL")
-    entry = F.when(F.col("id").isNotNull(), F.struct(F.col("id").cast("int").alias("id"), (F.col("tf") * weight).alias("value")))
+    known = counted.join(dictionary.select("term", "id", "df"), "term")
+    entry = F.struct(F.col("id").cast("int").alias("id"), (F.col("tf") * weight).alias("value"))
     # A document whose terms are all unknown keeps its row by this mark.
     marks = df.select(key, F.lit(None).cast(known.select(entry.alias("e")).schema["e"].dataType).alias("e"))
     both = known.select(key, entry.alias("e")).unionByName(marks)

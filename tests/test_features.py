@@ -248,3 +248,15 @@ def test_encoder_remembers_a_bounded_number_of_words(monkeypatch):
     assert np.array_equal(before, embeddings.hashing_encoder(4)()(np.array(texts))) and before.sum() == 18
     place = next(c.cell_contents for c in encode.__closure__ if hasattr(c.cell_contents, "cache_info"))
     assert place.cache_info().currsize == 3
+
+
+def test_terms_of_a_document_are_counted_where_it_is(spark):
+    from collections import Counter
+
+    rows = [(1, ["b", "a", "b"]), (2, []), (3, None), (4, ["a", None, "a"]), (None, ["c"] * 5)]
+    for more in ([], [(1, ["b", "z"]), (None, ["c"])]):
+        df = spark.createDataFrame(rows + more, "doc_id long, tokens array<string>")
+        want = Counter((key, t) for key, tokens in rows + more for t in tokens or [] if t is not None)
+        counted = dictionary.document_terms(df, "doc_id", "tokens")
+        assert {(r["doc_id"], r["term"]): r["tf"] for r in counted.collect()} == want
+        assert ("Exchange" in counted._jdf.queryExecution().executedPlan().toString()) == bool(more)
