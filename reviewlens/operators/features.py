@@ -15,6 +15,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewlens.functions.text import english_stopwords
@@ -97,9 +98,12 @@ def vocabulary(model: PipelineModel) -> list[str]:
 
 
 def term_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
-    """``(key, term, tf)``. Tokens of one row are counted before the shuffle."""
-    exploded = df.select(key, F.explode_outer(tokens).alias("term")).filter(F.col("term").isNotNull())
-    return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``(key, term, tf)``, dealt by key. Rows that share a key are one.
+
+    The rows move with their tokens as they are, which is less than a row per term, and are counted where they arrive.
+    """
+    exploded = df.select(key, tokens).repartition(key).select(key, F.explode_outer(tokens).alias("term"))
+    return exploded.filter(F.col("term").isNotNull()).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_long(
@@ -114,8 +118,8 @@ def tfidf_long(
     """``(key, term, tf, tfidf)`` for the terms of the vocabulary.
 
     ``smooth`` adds one to the inverse document frequency; ``normalize`` scales each row's values to
-    Euclidean length one. The vocabulary is a written table of at most ``vocab_size`` rows, which Spark
-    broadcasts while it is small.
+    Euclidean length one. The vocabulary has at most ``vocab_size`` rows, and Spark
+    broadcasts it while it is small. The counts stay where the rows of a key are, and so do the lengths.
     """
     counted = term_counts(df, key, tokens)
     rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
@@ -131,6 +135,6 @@ def tfidf_long(
     weighted = counted.join(weights, "term").select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
     if not normalize:
         return weighted
-    length = F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf")))
-    lengths = weighted.groupBy(key).agg(length.alias("length"))
-    return weighted.join(lengths, key).select(key, "term", "tf", (F.col("tfidf") / F.col("length")).alias("tfidf"))
+    length = F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf")).over(W.partitionBy(key)))
+    scaled = weighted.select(key, "term", "tf", (F.col("tfidf") / length).alias("tfidf"))
+    return scaled.filter(F.col(key).isNotNull())

@@ -260,3 +260,14 @@ def test_terms_of_a_document_are_counted_where_it_is(spark):
         counted = dictionary.document_terms(df, "doc_id", "tokens")
         assert {(r["doc_id"], r["term"]): r["tf"] for r in counted.collect()} == want
         assert ("Exchange" in counted._jdf.queryExecution().executedPlan().toString()) == bool(more)
+
+
+def test_bigram_values_move_by_document_only(spark):
+    rows = [(1, ["a", "b", "a"]), (1, ["b", "c"]), (2, ["a", "c"]), (3, []), (None, ["a", "b"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    got = features.tfidf_long(df, "doc_id", "tokens", min_df=1, smooth=True, normalize=True)
+    lengths = got.groupBy("doc_id").agg(F.sum(F.col("tfidf") * F.col("tfidf")).alias("s")).collect()
+    assert {r["doc_id"]: round(r["s"], 9) for r in lengths} == {1: 1.0, 2: 1.0}
+    assert {(r["doc_id"], r["term"]): r["tf"] for r in got.collect()} == {(1, "a"): 2, (1, "b"): 2, (1, "c"): 1, (2, "a"): 1, (2, "c"): 1}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "hashpartitioning(doc_id" in plan and "SortMergeJoin" not in plan
