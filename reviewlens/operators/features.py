@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions.text import english_stopwords
 from reviewlens.operators.keywords import vocab_document_freq
+from reviewlens.session import stage
 
 
 def tokenizer_stages(text: str, kind: str) -> list:
@@ -40,8 +42,8 @@ def tokenizer_stages(text: str, kind: str) -> list:
 
 
 def _through(df: DataFrame, stages: list) -> DataFrame:
-    for stage in stages:
-        df = stage.transform(df)
+    for transformer in stages:
+        df = transformer.transform(df)
     return df
 
 
@@ -76,21 +78,40 @@ def fit_text_features(
     'letters' and 'nonword' drop stop words and weigh by ``ln((m + 1) / (df + 1))``. 'ngrams' keeps
     single words and pairs, weighs by that plus one, and scales each vector to length one.
     """
+    stages, tokens = _token_stages(text, tokenizer)
+    return PipelineModel([*stages, *_weighing_stages(_through(train, stages).select(tokens), tokens, tokenizer, vocab_size, min_df)])
+
+
+def fit_text_vectors(
+    train: DataFrame, text: str, tokenizer: str, keep: Sequence[str], vocab_size: int = 10_000, min_df: int = 2
+) -> tuple[PipelineModel, DataFrame]:
+    """The stages of ``fit_text_features``, and the ``keep`` columns of ``train`` with ``features``.
+
+    The tokens of ``train`` are written, so that its texts are cut once and not for the fit and the vectors each.
+    """
+    stages, tokens = _token_stages(text, tokenizer)
+    written = stage(_through(train, stages).select(*dict.fromkeys(keep), tokens), "train-tokens")
+    weighing = _weighing_stages(written.select(tokens), tokens, tokenizer, vocab_size, min_df)
+    return PipelineModel([*stages, *weighing]), PipelineModel(weighing).transform(written).select(*dict.fromkeys(keep), "features")
+
+
+def _token_stages(text: str, tokenizer: str) -> tuple[list, str]:
+    """Stages from text to the tokens that count, and the name of their column."""
     stages = tokenizer_stages(text, tokenizer)
-    tokens = "tokens"
-    if tokenizer != "ngrams":
-        tokens = "filtered_tokens"
-        stages.append(StopWordsRemover(inputCol="tokens", outputCol=tokens, stopWords=english_stopwords()))
-    counts, frequencies, rows = count_vectorizer(
-        _through(train, stages).select(tokens), tokens, vocab_size=vocab_size, min_df=min_df
-    )
+    if tokenizer == "ngrams":
+        return stages, "tokens"
+    remover = StopWordsRemover(inputCol="tokens", outputCol="filtered_tokens", stopWords=english_stopwords())
+    return [*stages, remover], "filtered_tokens"
+
+
+def _weighing_stages(train: DataFrame, tokens: str, tokenizer: str, vocab_size: int, min_df: int) -> list:
+    """Stages from tokens to ``features``, fitted on the tokens of ``train``."""
+    counts, frequencies, rows = count_vectorizer(train, tokens, vocab_size=vocab_size, min_df=min_df)
     smooth = 1.0 if tokenizer == "ngrams" else 0.0
     weights = Vectors.dense([math.log((rows + 1) / (df + 1)) + smooth for df in frequencies])
     weighted = "weighted" if tokenizer == "ngrams" else "features"
-    stages += [counts, ElementwiseProduct(scalingVec=weights, inputCol="raw_features", outputCol=weighted)]
-    if tokenizer == "ngrams":
-        stages.append(Normalizer(p=2.0, inputCol=weighted, outputCol="features"))
-    return PipelineModel(stages)
+    product = ElementwiseProduct(scalingVec=weights, inputCol="raw_features", outputCol=weighted)
+    return [counts, product, *([Normalizer(p=2.0, inputCol=weighted, outputCol="features")] if tokenizer == "ngrams" else [])]
 
 
 def vocabulary(model: PipelineModel) -> list[str]:

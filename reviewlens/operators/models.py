@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions.vectors import to_array
-from reviewlens.operators.features import fit_text_features
+from reviewlens.operators.features import fit_text_features, fit_text_vectors
 from reviewlens.operators.labels import fit_label_index
 from reviewlens.operators.metrics import auc_roc, binary_metrics, metrics_rows
 from reviewlens.operators.stats import add_class_weights
@@ -103,10 +103,10 @@ def prepare_features(
     once and shared by all models; test rows with an unknown label are skipped.
     """
     indexer = fit_label_index(train, sentiment)
-    features = fit_text_features(train, text, tokenizer)
+    features, vectors = fit_text_vectors(train, text, tokenizer, [*keep, sentiment])
     fitted = PipelineModel([indexer, features])
     columns = [*keep, "label", "features"]
-    weighted = add_class_weights(fitted.transform(train).select(*columns))
+    weighted = add_class_weights(indexer.transform(vectors).select(*columns))
     return stage(weighted, "train-features"), stage(fitted.transform(test).select(*columns), "test-features"), fitted
 
 

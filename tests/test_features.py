@@ -271,3 +271,16 @@ def test_bigram_values_move_by_document_only(spark):
     assert {(r["doc_id"], r["term"]): r["tf"] for r in got.collect()} == {(1, "a"): 2, (1, "b"): 2, (1, "c"): 1, (2, "a"): 1, (2, "c"): 1}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "hashpartitioning(doc_id" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("tokenizer", ["letters", "nonword", "ngrams"])
+def test_written_tokens_give_the_same_vectors(spark, sf, tokenizer):
+    train = fx.reviews(spark, sf).select("doc_id", "Review", "quality")
+    model, vectors = features.fit_text_vectors(train, "Review", tokenizer, ["doc_id", "doc_id", "quality"])
+    plain = features.fit_text_features(train, "Review", tokenizer)
+    assert features.vocabulary(model) == features.vocabulary(plain) and vectors.columns == ["doc_id", "quality", "features"]
+    want = {r["doc_id"]: r["features"] for r in plain.transform(train).collect()}
+    assert {r["doc_id"]: r["features"] for r in vectors.collect()} == want
+    # The texts are not cut again for the vectors.
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "train-tokens" in plan or "Review" not in plan
