@@ -13,6 +13,7 @@ from reviewlens.functions.vectors import margin_to_probability, positive_probabi
 from reviewlens.operators import imbalance, models, splits, tuning
 from reviewlens.operators.stats import add_class_weights
 from workload import fixtures as fx
+from workload import queries
 
 
 @pytest.fixture(scope="module")
@@ -197,3 +198,13 @@ def test_tree_rows_are_dealt_by_binned_size(spark):
     for same in (models.dealt_for(models.lr_unweighted(), rows, 2000), models.dealt_for(models.gbt_plain(), rows)):
         assert same is rows
     assert models.dealt_for(models.gbt_plain(), rows.limit(0), 2000).count() == 0
+
+
+def test_final_comparison_divides_the_reviews_once(spark, sf, monkeypatch):
+    calls, divide = [], fx.aligned_train_test
+    monkeypatch.setattr(fx, "aligned_train_test", lambda *given: calls.append(given) or divide(*given))
+    for way in ("smote_lr", "weighted_ensemble", "threshold_moving", "pseudo_label"):
+        right = lambda _, test, way=way: imbalance.named_metrics(test.select("label", F.col("label").alias("prediction")), way)
+        monkeypatch.setattr(imbalance, way, right)
+    assert queries.final_comparison(spark, sf).count() == 5
+    assert len(calls) == 1
